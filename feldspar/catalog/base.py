@@ -16,29 +16,38 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# A fixed fraction of the last kept digit, added before rounding on both sides: exact ties (k/128 at six
+# digits, say) would otherwise fall either way with the last bit of a sum.
+TIE_SHIFT = 0.1234567
+
+
 def rounded(df: DataFrame, columns: Sequence[str], digits: int) -> DataFrame:
     """Round the listed doubles (and turn -0.0 into 0.0), so that summation order does not show."""
-    return df.withColumns({c: F.round(F.col(f"`{c}`").cast("double"), digits) + F.lit(0.0) for c in columns})
+    shift = F.lit(TIE_SHIFT * 10**-digits)
+    return df.withColumns({c: F.round(F.col(f"`{c}`").cast("double") + shift, digits) + F.lit(0.0) for c in columns})
+
 
+def query(name: str, sql: str | None = None, rounds: Sequence[str] = (), digits: int = 6, dates: Sequence[str] = ()):
+    """Register a query; ``sql`` is its counterpart.
 
-def query(name: str, sql: str | None = None, rounds: Sequence[str] = (), digits: int = 6):
-    """Register a query; ``sql`` is its counterpart. Columns in ``rounds`` are rounded on both sides."""
+    On both sides, columns in ``rounds`` are rounded and those in ``dates`` are written as text.
+    """
 
     def register(fn: Callable[[SparkSession, str], DataFrame]):
         @wraps(fn)
         def run(spark: SparkSession, folder: str) -> DataFrame:
             out = fn(spark, folder)
-            return rounded(out, rounds, digits) if rounds else out
+            out = rounded(out, rounds, digits) if rounds else out
+            return out.withColumns({c: F.col(c).cast("string") for c in dates}) if dates else out
 
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
         QUERIES[name] = run
         if sql is not None:
-            if rounds:
-                cells = ", ".join(f'round(CAST("{c}" AS DOUBLE), {digits}) + 0.0 AS "{c}"' for c in rounds)
-                ORACLES[name] = f"SELECT * REPLACE ({cells}) FROM (\n{sql}\n)"
-            else:
-                ORACLES[name] = sql
+            shift = TIE_SHIFT * 10**-digits
+            cells = [f'round(CAST("{c}" AS DOUBLE) + CAST({shift!r} AS DOUBLE), {digits}) + 0.0 AS "{c}"' for c in rounds]
+            cells += [f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in dates]
+            ORACLES[name] = f"SELECT * REPLACE ({', '.join(cells)}) FROM (\n{sql}\n)" if cells else sql
         return fn
 
     return register

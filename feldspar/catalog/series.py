@@ -85,6 +85,7 @@ def _(spark, d):
     "month_range_bounds",
     f"""SELECT o_orderkey, CAST(date_trunc('month', d) - INTERVAL 3 MONTH AS DATE) AS range_begin,
   CAST(date_trunc('month', d) - INTERVAL 1 DAY AS DATE) AS range_end FROM ({DAYS})""",
+    dates=["range_begin", "range_end"],
 )
 def _(spark, d):
     return _days(spark, d).select(
@@ -127,6 +128,7 @@ WEEKS = f"""SELECT year, week, CAST(sum(hit) AS BIGINT) AS cur FROM
     f"""WITH w AS (SELECT *, lag(cur) OVER (ORDER BY year, week) AS prev, lead(cur) OVER (ORDER BY year, week) AS nxt FROM ({WEEKS}))
 SELECT air_store_id, visit_date, cur AS holiday_cnt_currweek, prev AS holiday_cnt_lastweek, nxt AS holiday_cnt_nextweek
 FROM ({HOLIDAY}) h JOIN w USING (year, week)""",
+    dates=["visit_date"],
 )
 def _(spark, d):
     out, new = gs.holiday_week_count(_holiday_rows(spark, d), "flg")
@@ -182,13 +184,13 @@ _LONG, _LONG_ROUNDS = _mean_count_std_sql(VISITS, "air_store_id", 61)
 _SHORT, _SHORT_ROUNDS = _mean_count_std_sql(USER_VISITS, "user_id", 5)
 
 
-@query("history_mean_count_std", _LONG, rounds=_LONG_ROUNDS)
+@query("history_mean_count_std", _LONG, rounds=_LONG_ROUNDS, dates=["visit_date"])
 def _(spark, d):
     out, new = hi.history_mean_count_std(visits(spark, d), "air_store_id", "visit_date", "visitors", [])
     return out.select("air_store_id", "visit_date", *new)
 
 
-@query("history_mean_count_std_users", _SHORT, rounds=_SHORT_ROUNDS)
+@query("history_mean_count_std_users", _SHORT, rounds=_SHORT_ROUNDS, dates=["visit_date"])
 def _(spark, d):
     out, new = hi.history_mean_count_std(user_visits(spark, d), "user_id", "visit_date", "visitors", [])
     return out.select("user_id", "visit_date", *new)
@@ -232,7 +234,7 @@ GROUP BY s.air_store_id, s.visit_date, s.dn"""
 _DIST, _DIST_ROUNDS = _distribution_sql(61)
 
 
-@query("history_distribution", _DIST, rounds=_DIST_ROUNDS)
+@query("history_distribution", _DIST, rounds=_DIST_ROUNDS, dates=["visit_date"])
 def _(spark, d):
     out, new = hi.history_distribution(visits(spark, d), "air_store_id", "visit_date", "visitors", [])
     return out.select("air_store_id", "visit_date", *new)
@@ -263,7 +265,7 @@ SELECT f.air_store_id, f.visit_date, f.weekend, {names} FROM f LEFT JOIN x
 _FLAG, _FLAG_ROUNDS = _flag_sql()
 
 
-@query("flag_history", _FLAG, rounds=_FLAG_ROUNDS)
+@query("flag_history", _FLAG, rounds=_FLAG_ROUNDS, dates=["visit_date"])
 def _(spark, d):
     day = F.col("visit_date")
     df = visits(spark, d).withColumns(
@@ -288,6 +290,7 @@ p AS (SELECT *, last_value(v IGNORE NULLS) OVER w AS pv, last_value(CASE WHEN v
 SELECT user_id, day, weekday, CASE WHEN v IS NOT NULL THEN v WHEN pv IS NULL THEN nv
   ELSE pv + (nv - pv) * (day - pd) / (nd - pd) END AS value FROM p""",
     rounds=["value"],
+    dates=["day"],
 )
 def _(spark, d):
     daily = hi.daily_series(user_visits(spark, d), "user_id", "visit_date", "visitors", [])
@@ -307,13 +310,13 @@ def _(spark, d):
     return out.select(*HOUSE_KEY, *new)
 
 
-@query("history_decayed")
+@query("history_decayed", dates=["visit_date"])
 def _(spark, d):
     out, new = hi.history_decayed(visits(spark, d), "air_store_id", "visit_date", "visitors", [])
     return out.select("air_store_id", "visit_date", *new)
 
 
-@query("ridge_trend")
+@query("ridge_trend", dates=["visit_date"])
 def _(spark, d):
     df = visits(spark, d).withColumn("row_key", F.concat_ws("|", "air_store_id", "visit_date"))
     first = df.agg(F.min("visit_date")).first()[0]

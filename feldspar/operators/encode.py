@@ -23,7 +23,7 @@ from feldspar.plans.storage import materialize
 
 def _fold_aggregates(target: str, fold: str, k: int) -> list[Column]:
     y = q(target).cast("double")
-    out = [F.sum(y).alias("__S"), F.count(y).alias("__N")]
+    out = [F.sum(y).alias("__ysum"), F.count(y).alias("__ycnt")]
     for f in range(k):
         inside = F.when(q(fold) == f, y)
         out += [F.coalesce(F.sum(inside), F.lit(0.0)).alias(f"__sum{f}"), F.count(inside).alias(f"__cnt{f}")]
@@ -37,15 +37,15 @@ def _other_folds(fold: Column, k: int) -> Column:
     for f in range(k):
         s = F.when(fold == f, F.col(f"__sum{f}")).otherwise(s)
         n = F.when(fold == f, F.col(f"__cnt{f}")).otherwise(n)
-    return (F.col("__S") - s) / F.nullif(F.col("__N") - n, F.lit(0).cast("long"))
+    return (F.col("__ysum") - s) / F.nullif(F.col("__ycnt") - n, F.lit(0).cast("long"))
 
 
 def _work_columns(k: int) -> list[str]:
-    return ["__n", "__S", "__N", *[f"__{p}{f}" for p in ("sum", "cnt") for f in range(k)]]
+    return ["__n", "__ysum", "__ycnt", *[f"__{p}{f}" for p in ("sum", "cnt") for f in range(k)]]
 
 
 def _totals(table: DataFrame, k: int):
-    names = ["__S", "__N", *[f"__{p}{f}" for p in ("sum", "cnt") for f in range(k)]]
+    names = ["__ysum", "__ycnt", *[f"__{p}{f}" for p in ("sum", "cnt") for f in range(k)]]
     return table.agg(*[F.sum(n).alias(n) for n in names]).first()
 
 
@@ -71,11 +71,11 @@ def oof_target_mean(
         total = _totals(tables[c], k)
         rest = F.lit(None).cast("double")
         for f in range(k):
-            mean = _ratio((total["__S"] or 0.0) - (total[f"__sum{f}"] or 0.0), (total["__N"] or 0) - (total[f"__cnt{f}"] or 0))
+            mean = _ratio((total["__ysum"] or 0.0) - (total[f"__sum{f}"] or 0.0), (total["__ycnt"] or 0) - (total[f"__cnt{f}"] or 0))
             rest = F.when(q(fold) == f, F.lit(mean)).otherwise(rest)
-        overall = F.lit(_ratio(total["__S"] or 0.0, total["__N"] or 0))
+        overall = F.lit(_ratio(total["__ysum"] or 0.0, total["__ycnt"] or 0))
         joined = lookup_join(work, tables[c], [c], weight="__n", null_safe=False, stored=True)
-        seen = F.col("__S") / F.nullif(F.col("__N"), F.lit(0).cast("long"))
+        seen = F.col("__ysum") / F.nullif(F.col("__ycnt"), F.lit(0).cast("long"))
         value = F.when(q(TRAIN) == 1, F.coalesce(_other_folds(q(fold), k), rest)).otherwise(F.coalesce(seen, overall))
         name = f"oof_{target}@{c}"
         work = joined.withColumn(name, value).drop(*_work_columns(k))
@@ -98,17 +98,17 @@ def smoothed_target_mean(
     """
     train = df.filter(q(TRAIN) == 1).select(*dict.fromkeys([*columns, target]))
     y = q(target).cast("double")
-    tables = tables_by_column(train, columns, [F.sum(y).alias("__S"), F.count(y).alias("__N")])
+    tables = tables_by_column(train, columns, [F.sum(y).alias("__ysum"), F.count(y).alias("__ycnt")])
     new = []
     for c in columns:
-        total = tables[c].agg(F.sum("__S").alias("s"), F.sum("__N").alias("n")).first()
+        total = tables[c].agg(F.sum("__ysum").alias("s"), F.sum("__ycnt").alias("n")).first()
         prior = F.lit(_ratio(total["s"] or 0.0, total["n"] or 0))
-        mean = F.col("__S") / F.nullif(F.col("__N"), F.lit(0).cast("long"))
-        lam = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("__N") - min_samples_leaf) / F.lit(float(smoothing))))
+        mean = F.col("__ysum") / F.nullif(F.col("__ycnt"), F.lit(0).cast("long"))
+        lam = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("__ycnt") - min_samples_leaf) / F.lit(float(smoothing))))
         joined = lookup_join(df, tables[c], [c], weight="__n", null_safe=False, stored=True)
         value = F.coalesce(prior * (F.lit(1.0) - lam) + mean * lam, prior)
         name = f"smooth_{target}@{c}"
-        df = joined.withColumn(name, multiplicative_noise(value, noise_level, seed)).drop("__n", "__S", "__N")
+        df = joined.withColumn(name, multiplicative_noise(value, noise_level, seed)).drop("__n", "__ysum", "__ycnt")
         new.append(name)
     return df, new
 
@@ -126,7 +126,7 @@ def likelihood_encoding(
     new = []
     for c in columns:
         joined = lookup_join(work, tables[c], [c], weight="__n", stored=True)
-        seen = F.col("__S") / F.nullif(F.col("__N"), F.lit(0).cast("long"))
+        seen = F.col("__ysum") / F.nullif(F.col("__ycnt"), F.lit(0).cast("long"))
         value = F.when(q(TRAIN) == 1, _other_folds(F.col("__fold"), k)).otherwise(seen)
         name = f"{c}_tar_avg"
         work = joined.withColumn(name, F.coalesce(value, F.lit(0.0))).drop(*_work_columns(k))

@@ -96,26 +96,40 @@ def history_distribution(
         raise ValueError(f"{value} must be greater than 0")
     whole = Window.partitionBy(entity)
     daily = daily.withColumns({"__first": F.min("__d").over(whole), "__any": F.max(F.col("__v").isNotNull()).over(whole)})
-    new: dict[str, Column] = {}
-    for length in (30, 60, 90, 180, 360):
+    lengths = (30, 60, 90, 180, 360)
+    raw: dict[str, Column] = {}
+    for length in lengths:
         frame = Window.partitionBy(entity).orderBy("__d").rangeBetween(-(tp + length - 1), -tp)
-        over = lambda c, frame=frame: c.over(frame)
-        n = over(F.count("__v"))
-        alive = F.col("__any") & (F.col("__d") - tp >= F.col("__first"))
-        varied = over(F.max("__v")) > over(F.min("__v"))
-        skew, kurt = skew_kurt(n, over(F.skewness("__v")), over(F.kurtosis("__v")))
-        pct = over(F.percentile("__v", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))))
+        aggs = {
+            "n": F.count("__v"),
+            "avg": F.avg("__v"),
+            "lo": F.min("__v"),
+            "hi": F.max("__v"),
+            "inv": F.sum(F.lit(1.0) / F.col("__v")),
+            "std": F.stddev_samp("__v"),
+            "g1": F.skewness("__v"),
+            "g2": F.kurtosis("__v"),
+            "pct": F.percentile("__v", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))),
+        }
+        raw |= {f"__{s}{length}": c.over(frame) for s, c in aggs.items()}
+    daily = daily.select(entity, day, "__n", "__d", "__first", "__any", *[c.alias(n) for n, c in raw.items()])
+    alive = F.col("__any") & (F.col("__d") - tp >= F.col("__first"))
+    new: dict[str, Column] = {}
+    for length in lengths:
+        at = lambda s, length=length: F.col(f"__{s}{length}")
+        varied = at("hi") > at("lo")
+        skew, kurt = skew_kurt(at("n"), at("g1"), at("g2"))
         span = f"on_{tp + length - 1}-{tp}({length})"
         new |= {
-            f"cnt_{span}": F.when(alive, n),
-            f"mean_{span}": over(F.avg("__v")),
-            f"med_{span}": F.get(pct, F.lit(1)),
-            f"hmean_{span}": F.when(n > 0, n / over(F.sum(F.lit(1.0) / F.col("__v")))),
-            f"std_{span}": over(F.stddev_samp("__v")),
+            f"cnt_{span}": F.when(alive, at("n")),
+            f"mean_{span}": at("avg"),
+            f"med_{span}": F.get(at("pct"), F.lit(1)),
+            f"hmean_{span}": F.when(at("n") > 0, at("n") / at("inv")),
+            f"std_{span}": at("std"),
             f"skew_{span}": F.when(varied, skew),
             f"kurt_{span}": F.when(varied, kurt),
-            f"pct10_{span}": F.get(pct, F.lit(0)),
-            f"pct90_{span}": F.get(pct, F.lit(2)),
+            f"pct10_{span}": F.get(at("pct"), F.lit(0)),
+            f"pct90_{span}": F.get(at("pct"), F.lit(2)),
         }
     table = daily.select(entity, day, "__n", *[c.alias(n) for n, c in new.items()])
     return lookup_join(df, table, [entity, day], weight="__n").drop("__n"), list(new)
@@ -150,14 +164,19 @@ def flag_history(
         F.min("__v").alias("lo"),
         F.max("__v").alias("hi"),
     )
-    stats: dict[str, Column] = {}
+    raw: dict[str, Column] = {}
     for r in FLAG_MONTHS:
         w = Window.partitionBy(entity, flag).orderBy("__m").rangeBetween(-r, -1)
-        c, rows = F.sum("c").over(w), F.sum("__n").over(w)
+        raw |= {f"{x}_{r}": F.sum(x).over(w) for x in ("c", "__n", "p1", "p2", "p3", "p4", "inv")}
+        raw |= {f"lo_{r}": F.min("lo").over(w), f"hi_{r}": F.max("hi").over(w)}
+    months = months.select(*keys, "__n", *[c.alias(n) for n, c in raw.items()])
+    stats: dict[str, Column] = {}
+    for r in FLAG_MONTHS:
+        c, rows = F.col(f"c_{r}"), F.col(f"__n_{r}")
         n = F.nullif(c, F.lit(0).cast("long")).cast("double")
-        m1, m2, m3, m4 = [F.sum(f"p{p}").over(w) / n for p in (1, 2, 3, 4)]
+        m1, m2, m3, m4 = [F.col(f"p{p}_{r}") / n for p in (1, 2, 3, 4)]
         var = F.greatest(m2 - m1 * m1, F.lit(0.0))
-        varied = F.max("hi").over(w) > F.min("lo").over(w)
+        varied = F.col(f"hi_{r}") > F.col(f"lo_{r}")
         third = m3 - 3 * m1 * m2 + 2 * m1 * m1 * m1
         fourth = m4 - 4 * m1 * m3 + 6 * m1 * m1 * m2 - 3 * m1 * m1 * m1 * m1
         safe = F.nullif(var, F.lit(0.0))
@@ -166,7 +185,7 @@ def flag_history(
         stats |= {
             name("cnt"): F.when(rows > 0, c),
             name("mean"): m1 + F.lit(center),
-            name("hmean"): n / F.sum("inv").over(w),
+            name("hmean"): n / F.col(f"inv_{r}"),
             name("std"): F.when(n > 1, F.when(varied, F.sqrt(var * n / F.nullif(n - 1, F.lit(0.0)))).otherwise(F.lit(0.0))),
             name("skew"): F.when(varied, skew).when(n >= 3, F.lit(0.0)),
             name("kurt"): F.when(varied, kurt).when(n >= 4, F.lit(0.0)),
