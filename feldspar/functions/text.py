@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Token patterns, with letter and digit classes spelled out.
 WORD_WITH_LETTER = r"[\p{L}\p{N}_]*[a-zA-Z][\p{L}\p{N}_]*"
@@ -21,7 +22,7 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.translate(text, SEPARATORS, " " * len(SEPARATORS)), F.lit(r"\S+"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def strip_accents(text: pd.Series) -> pd.Series:
     """Decompose (NFKD) and drop combining marks."""
     return text.map(
@@ -31,7 +32,7 @@ def strip_accents(text: pd.Series) -> pd.Series:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def ascii_fold(text: pd.Series) -> pd.Series:
     """Decompose (NFKD) and drop everything outside ASCII."""
     return text.map(
@@ -55,13 +56,17 @@ def words(text: Column, pattern: str = WORD_WITH_LETTER) -> Column:
 
 
 def char_ngrams(text: Column, low: int, high: int) -> Column:
-    """All character n-grams of low..high characters of the whole lower-cased text, white space collapsed."""
-    t = F.regexp_replace(F.lower(text), r"\s+", " ")
-    sizes = F.array(*[F.lit(n) for n in range(low, high + 1)])
+    """All character n-grams of low..high characters of the whole lower-cased text, white space collapsed.
 
-    def of_size(n: Column) -> Column:
-        last = F.length(t) - n + 1
-        starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.substring(t, i, n))
+    The text is cut into characters once and n-grams are joined from single elements: substring() would walk
+    the UTF-8 text, and slice() copy the array, once per n-gram.
+    """
+    chars = F.split(F.regexp_replace(F.lower(text), r"\s+", " "), "")
 
-    return F.flatten(F.transform(sizes, of_size))
+    def of_size(c: Column, n: int) -> Column:
+        last = F.size(c) - n
+        starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.concat(*[F.get(c, i + j) for j in range(n)]))
+
+    # transform() over a one-element array binds the characters, so they are not computed again per n-gram.
+    return F.flatten(F.transform(F.array(chars), lambda c: F.flatten(F.array(*[of_size(c, n) for n in range(low, high + 1)]))))

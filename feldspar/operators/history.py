@@ -21,6 +21,7 @@ from feldspar.operators.missing import mean_impute
 from feldspar.operators.profile import TRAIN, assert_no_nulls, q
 from feldspar.plans.lookup import lookup_join
 from feldspar.plans.ordering import grouped_quantiles, running_counts
+from feldspar.plans.spread import spread
 from feldspar.plans.storage import materialize
 
 
@@ -36,7 +37,7 @@ def daily_series(
         v = F.when(q(TRAIN) == 1, v)
     rank = F.struct(F.lit(1) - q(TRAIN), *[q(o) for o in order])
     daily = df.groupBy(entity, day).agg(F.max_by(v, rank).alias("__v"), F.count(F.lit(1)).alias("__n"))
-    return daily.withColumn("__d", day_number(q(day)))
+    return spread(daily, entity).withColumn("__d", day_number(q(day)))
 
 
 def horizon(df: DataFrame, day: str) -> int:
