@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("tables", "encodings", "series", "texts", "quality")
+MODULES = ("tables", "encodings", "series", "texts", "quality", "models")
 
 
 def load():

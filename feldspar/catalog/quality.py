@@ -66,14 +66,42 @@ def _(spark, d):
     return fq.histogram_cosine(claims(spark, d), ["seg_cat", "nation_cat", "region"], "target")
 
 
-@query("adjusted_mutual_info")
+def _ami_sql(c: str, source: str) -> str:
+    """Mutual information, entropies and the hypergeometric expectation, summed over every cell and count."""
+    return f"""SELECT '{c}' AS "column", (mi - e) / (greatest(ha, hb) - e) AS ami FROM (
+WITH s AS ({source}), n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM s),
+a AS (SELECT {c} AS v, CAST(count(*) AS DOUBLE) AS a FROM s GROUP BY 1), b AS (SELECT target AS t, CAST(count(*) AS DOUBLE) AS b FROM s GROUP BY 1),
+ab AS (SELECT {c} AS v, target AS t, CAST(count(*) AS DOUBLE) AS k FROM s GROUP BY 1, 2),
+x AS (SELECT a, b, n, CAST(unnest(generate_series(CAST(greatest(1, a + b - n) AS BIGINT), CAST(least(a, b) AS BIGINT))) AS DOUBLE) AS k FROM a, b, n)
+SELECT (SELECT sum(k / n * ln(n * k / (a * b))) FROM ab JOIN a ON ab.v IS NOT DISTINCT FROM a.v JOIN b ON ab.t = b.t, n) AS mi,
+ (SELECT -sum(a / n * ln(a / n)) FROM a, n) AS ha, (SELECT -sum(b / n * ln(b / n)) FROM b, n) AS hb,
+ (SELECT sum(k / n * ln(n * k / (a * b)) * exp(lgamma(a + 1) + lgamma(b + 1) + lgamma(n - a + 1) + lgamma(n - b + 1) - lgamma(n + 1)
+   - lgamma(k + 1) - lgamma(a - k + 1) - lgamma(b - k + 1) - lgamma(n - a - b + k + 1))) FROM x) AS e)"""
+
+
+AMI_COLUMNS = ["seg_cat", "nation_cat", "region"]
+
+
+@query("adjusted_mutual_info", "\nUNION ALL ".join(_ami_sql(c, CLAIMS) for c in AMI_COLUMNS), rounds=["ami"])
 def _(spark, d):
-    return fq.adjusted_mutual_info(claims(spark, d), ["seg_cat", "nation_cat", "region"], "target")
+    return fq.adjusted_mutual_info(claims(spark, d), AMI_COLUMNS, "target")
 
 
-@query("topk_mutual_info")
+PAIRS = f"""SELECT target, seg_cat || '-' || coalesce(nation_cat, 'nan') AS "seg_cat-nation_cat",
+  seg_cat || '-' || CAST(region AS VARCHAR) AS "seg_cat-region", coalesce(nation_cat, 'nan') || '-' || CAST(region AS VARCHAR) AS "nation_cat-region"
+FROM ({CLAIMS})"""
+PAIR_NAMES = ("seg_cat-nation_cat", "seg_cat-region", "nation_cat-region")
+
+
+@query(
+    "topk_mutual_info",
+    "SELECT * FROM ("
+    + "\nUNION ALL ".join(_ami_sql(f'"{c}"', PAIRS).replace(f"'\"{c}\"'", f"'{c}'") for c in PAIR_NAMES)
+    + ') ORDER BY ami DESC, "column" LIMIT 20',
+    rounds=["ami"],
+)
 def _(spark, d):
-    df, pairs = en.interaction_codes(claims(spark, d), ["seg_cat", "nation_cat", "region"])
+    df, pairs = en.interaction_codes(claims(spark, d), AMI_COLUMNS)
     return fq.top_mutual_info(df, pairs, "target", 20)
 
 

@@ -1,7 +1,7 @@
 """TF-IDF in long form (key, term, weight), chi-square terms, bag of words.
 
 Documents are shuffled once by key; token counts, weights and the L2 norm of a document then need no further
-exchange. The vocabulary is a small table: at most ``max_features`` rows, or measured before it is broadcast.
+exchange. The vocabulary is written once (at most ``max_features`` rows, or measured before it is broadcast).
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from feldspar.functions import text as tx
 from feldspar.operators.profile import TRAIN, q
 from feldspar.plans.lookup import lookup_join
 from feldspar.plans.spread import spread
+from feldspar.plans.storage import materialize
 
 
 @dataclass(frozen=True)
@@ -82,11 +83,11 @@ def vocabulary(df: DataFrame, counts: DataFrame, a: Analyzer) -> DataFrame:
 def tfidf(df: DataFrame, key: str, text: str, a: Analyzer) -> tuple[DataFrame, DataFrame]:
     """Long (key, is_train, term, weight) with L2-normalised weights, and the vocabulary."""
     counts = term_counts(df, key, text, a)
-    vocab = vocabulary(df, counts, a)
+    vocab = materialize(vocabulary(df, counts, a))
     if a.max_features is not None:
         rows = counts.join(F.broadcast(vocab.select("term", "idf")), "term")  # at most max_features rows
     else:
-        rows = lookup_join(counts, vocab.select("term", "df", "idf"), ["term"], weight="df", null_safe=False)
+        rows = lookup_join(counts, vocab.select("term", "df", "idf"), ["term"], weight="df", null_safe=False, stored=True)
         rows = rows.filter(F.col("idf").isNotNull())
     tf = F.col("tf").cast("double")
     rows = rows.withColumn("__w", (F.lit(1.0) + F.log(tf) if a.sublinear else tf) * F.col("idf"))
