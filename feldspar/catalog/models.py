@@ -12,27 +12,35 @@ from feldspar.functions.numeric import hash_fold
 from feldspar.operators import learn as ln
 from feldspar.operators import recipes as cp
 from feldspar.operators import textfeatures as tf
+from feldspar.plans.storage import materialize
 
 NUMBERS = ["n_words", "n_chars", "n_upper", "n_digits", "n_marks"]
 
 
 def _numbers(spark, d):
-    """Labelled documents with text measures; a hash split marks the train rows."""
+    """Labelled documents with text measures (log scale); a hash split marks the train rows.
+
+    Written once, because every fit and score below reads it again.
+    """
     df = comments(spark, d).filter("toxic is not null")
     text = F.col("comment_text")
-    return df.select(
+    measures = {
+        "n_words": tx.word_count(text),
+        "n_chars": F.col("n_chars"),
+        "n_upper": F.regexp_count(text, F.lit("[A-Z]")),
+        "n_digits": F.regexp_count(text, F.lit("[0-9]")),
+        "n_marks": F.regexp_count(text, F.lit("[.!?]")),
+    }
+    out = df.select(
         "doc_id",
         "toxic",
         "quality",
         "lang",
         "source",
-        tx.word_count(text).cast("double").alias("n_words"),
-        F.col("n_chars").cast("double").alias("n_chars"),
-        F.regexp_count(text, F.lit("[A-Z]")).cast("double").alias("n_upper"),
-        F.regexp_count(text, F.lit("[0-9]")).cast("double").alias("n_digits"),
-        F.regexp_count(text, F.lit("[.!?]")).cast("double").alias("n_marks"),
+        *[F.log1p(c.cast("double")).alias(n) for n, c in measures.items()],
         (hash_fold(F.col("doc_id"), 10) < 7).cast("int").alias("is_train"),
     )
+    return materialize(out)
 
 
 def _prices(spark, d):
@@ -107,12 +115,12 @@ def _(spark, d):
 
 @query("cross_val_auc")
 def _(spark, d):
-    return ln.cross_val_auc(_numbers(spark, d), NUMBERS, ["toxic", "quality"], "doc_id")
+    return ln.cross_val_auc(_numbers(spark, d), NUMBERS, ["toxic", "quality"], "doc_id", max_iter=10)
 
 
 @query("predict_multilabel")
 def _(spark, d):
-    return ln.predict_multilabel(_numbers(spark, d), NUMBERS, ["toxic", "quality"], "doc_id")
+    return ln.predict_multilabel(_numbers(spark, d), NUMBERS, ["toxic", "quality"], "doc_id", ln.logistic(max_iter=10))
 
 
 @query("grid_search_gbm")
@@ -194,8 +202,9 @@ def _(spark, d):
 
 @query("greedy_rfe")
 def _(spark, d):
-    kept = ln.greedy_rfe(_numbers(spark, d), NUMBERS, "quality", "doc_id", ln.logistic(max_iter=5), block=3, k=2)
-    return _numbers(spark, d).select("doc_id", *kept)
+    df = _numbers(spark, d)
+    kept = ln.greedy_rfe(df, NUMBERS, "quality", "doc_id", ln.logistic(max_iter=5), block=3, k=2)
+    return df.select("doc_id", *kept)
 
 
 @query("boruta_select")

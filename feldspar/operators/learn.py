@@ -298,7 +298,9 @@ def boosted_fit_cv(
     return df.sparkSession.createDataFrame([row], schema), importances(model, columns, 100)
 
 
-def cross_val_auc(df: DataFrame, features: Sequence[str] | None, targets: Sequence[str], key: str, k: int = 3, c: float = 0.1) -> DataFrame:
+def cross_val_auc(
+    df: DataFrame, features: Sequence[str] | None, targets: Sequence[str], key: str, k: int = 3, c: float = 0.1, max_iter: int = 100
+) -> DataFrame:
     """(target, auc): k-fold mean AUC of a logistic regression per target, and the mean over targets (null target)."""
     ready = assemble(df, features) if features else df
     train = ready.filter(q(TRAIN) == 1).withColumn("__fold", hash_fold(q(key), k))
@@ -306,7 +308,7 @@ def cross_val_auc(df: DataFrame, features: Sequence[str] | None, targets: Sequen
     rows = []
     for t in targets:
         judge = BinaryClassificationEvaluator(labelCol=t, numBins=0)
-        own = for_label(logistic(c, n), t)
+        own = for_label(logistic(c, n, max_iter), t)
         cv = CrossValidator(estimator=own, estimatorParamMaps=[{}], evaluator=judge, numFolds=k, foldCol="__fold", parallelism=1)
         rows.append((t, float(cv.fit(train.withColumn(t, q(t).cast("double"))).avgMetrics[0])))
     rows.append((None, sum(r[1] for r in rows) / len(rows)))

@@ -16,6 +16,7 @@ from feldspar.operators import numeric as nm
 from feldspar.operators import quality as fq
 from feldspar.operators import textfeatures as tf
 from feldspar.operators.profile import TRAIN, columns_with_suffix, q
+from feldspar.plans.storage import materialize
 
 
 def feature_generate(df: DataFrame, categories: Sequence[str], numbers: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -64,4 +65,6 @@ def text_features_to_predictions(
     dense = dense.withColumn("__dense", array_to_vector(F.concat(F.array(*numbers), *[q(a) for a in arrays])))
     vectors = ln.document_vectors(dense.select(key, TRAIN, *targets, "__dense"), key, [words])
     ready = ln.assemble(vectors.withColumnRenamed(ln.FEATURES, "__sparse"), ["__dense", "__sparse"])
-    return ln.predict_multilabel(ready.select(key, TRAIN, *targets, ln.FEATURES), None, targets, key)
+    ready = materialize(ready.select(key, TRAIN, *targets, ln.FEATURES))  # read again by every fit and score
+    n = ready.filter(q(TRAIN) == 1).count()
+    return ln.predict_multilabel(ready, None, targets, key, ln.logistic(0.1, n, score_iterations))
