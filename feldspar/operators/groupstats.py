@@ -9,12 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feldspar.functions.numeric import divide
-from feldspar.operators.missing import inf_impute, nan_impute
+from feldspar.operators.missing import nan_inf_impute
 from feldspar.operators.profile import TRAIN, q
 from feldspar.plans.lookup import lookup_join
-from feldspar.plans.ordering import grouped_quantiles
+from feldspar.plans.ordering import IN_MEMORY, grouped_quantiles
 from feldspar.plans.percolumn import tables_by_column
-from feldspar.plans.storage import materialize
 
 STATS = ("count", "mean", "std", "median", "max", "min")
 
@@ -24,38 +23,37 @@ def group_stats(df: DataFrame, observe: Sequence[str], groups: Sequence[str]) ->
 
     Train and test rows count together; a null group is the group ``nan``; remaining nulls become 0.
     """
+    names = [f"__g{i}" for i in range(len(groups))]
+    keyed = df.withColumns({n: F.coalesce(q(g).cast("string"), F.lit("nan")) for n, g in zip(names, groups)})
+    slim = keyed.select(*names, *[q(o).cast("double").alias(f"__o{i}") for i, o in enumerate(observe)])
+    values = [f"__o{i}" for i in range(len(observe))]
+    aggs = [
+        fn(v).alias(f"{v}_{s}")
+        for v in values
+        for s, fn in (("mean", F.avg), ("std", F.stddev_samp), ("max", F.max), ("min", F.min))
+    ]
+    tables = tables_by_column(slim, names, aggs)
+    largest = max(t.agg(F.max("__n")).first()[0] or 0 for t in tables.values())
+    if largest <= IN_MEMORY:
+        halves = [F.percentile(v, F.lit(0.5)).alias(f"{v}@0.5") for v in values]
+        medians = {n: t.drop("__n") for n, t in tables_by_column(slim, names, halves).items()}
+    else:
+        medians = {n: grouped_quantiles(slim, [n], values, [0.5], largest, IN_MEMORY) for n in names}
     new: list[str] = []
-    for g in groups:
-        watched = [o for o in observe if o != g]
-        keyed = df.withColumn("__group", F.coalesce(q(g).cast("string"), F.lit("nan")))
-        aggs = [F.count(F.lit(1)).alias("__n")]
-        for o in watched:
-            x = q(o).cast("double")
-            aggs += [
-                F.avg(x).alias(f"{o}_mean_on_{g}"),
-                F.stddev_samp(x).alias(f"{o}_std_on_{g}"),
-                F.max(x).alias(f"{o}_max_on_{g}"),
-                F.min(x).alias(f"{o}_min_on_{g}"),
-            ]
-        stats = materialize(keyed.groupBy("__group").agg(*aggs))
-        largest = stats.agg(F.max("__n")).first()[0] or 0
-        slim = keyed.select("__group", *[q(o).cast("double").alias(f"__o{i}") for i, o in enumerate(watched)])
-        medians = grouped_quantiles(slim, ["__group"], [f"__o{i}" for i in range(len(watched))], [0.5], largest)
-        stats = stats.join(medians, "__group", "left").select(
-            "__group",
+    for n, g in zip(names, groups):
+        watched = [(v, o) for v, o in zip(values, observe) if o != g]
+        stats = tables[n].join(medians[n], n, "left").select(
+            n,
             "__n",
             *[
-                F.coalesce(
-                    q("__n") if s == "count" else q(f"__o{i}@0.5") if s == "median" else q(f"{o}_{s}_on_{g}"),
-                    F.lit(0),
-                ).alias(f"{o}_{s}_on_{g}")
-                for i, o in enumerate(watched)
+                F.coalesce(q("__n") if s == "count" else q(f"{v}@0.5") if s == "median" else q(f"{v}_{s}"), F.lit(0)).alias(f"{o}_{s}_on_{g}")
+                for v, o in watched
                 for s in STATS
             ],
         )
-        df = lookup_join(keyed, stats, ["__group"], weight="__n").drop("__group", "__n")
-        new += [f"{o}_{s}_on_{g}" for o in watched for s in STATS]
-    return df, new
+        keyed = lookup_join(keyed, stats, [n], weight="__n").drop("__n")
+        new += [f"{o}_{s}_on_{g}" for _v, o in watched for s in STATS]
+    return keyed.drop(*names), new
 
 
 def group_stats_ratio(
@@ -83,10 +81,8 @@ def group_stats_ratio(
     df = df.withColumns({**ratios, **ranges})
     if replace:
         df = df.drop(*gone)
-    df, nan_flags = nan_impute(df, new)
-    new += nan_flags
-    df, inf_flags = inf_impute(df, new)
-    return df, new + inf_flags
+    df, flags = nan_inf_impute(df, new)
+    return df, new + flags
 
 
 def occurrence_ratio(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:

@@ -58,10 +58,10 @@ def char_analyzer(low: int = 2, high: int = 6, max_features: int | None = 50_000
 
 def term_counts(df: DataFrame, key: str, text: str, a: Analyzer) -> DataFrame:
     """(key, is_train, term, tf). The shuffle by key carries the text once; counting is local after it."""
-    body = F.lower(q(text))
+    docs = spread(df.select(q(key), q(TRAIN), q(text).alias("__text")), key)
+    body = F.lower(F.col("__text"))
     body = tx.strip_accents(body) if a.strip_accents else body
-    docs = spread(df.select(q(key), q(TRAIN), body.alias("__text")), key)
-    terms = docs.select(q(key), q(TRAIN), F.explode(a.terms(F.col("__text"))).alias("term"))
+    terms = docs.select(q(key), q(TRAIN), F.explode(a.terms(body)).alias("term"))
     if a.stop_words:
         terms = terms.filter(~F.col("term").isin(*a.stop_words))
     return terms.groupBy(key, TRAIN, "term").agg(F.count(F.lit(1)).alias("tf"))

@@ -17,6 +17,7 @@ from feldspar.plans.storage import materialize
 
 POSITION = "__pos"
 _PART_BITS = 33
+IN_MEMORY = 2_000_000  # rows of a group that one aggregation buffer may hold
 
 
 def _part(c: Column) -> Column:
@@ -88,7 +89,7 @@ def grouped_quantiles(
     values: Sequence[str],
     probs: Sequence[float],
     largest_group: int,
-    in_memory: int = 2_000_000,
+    in_memory: int | None = None,
 ) -> DataFrame:
     """Exact linear-interpolation quantiles: one row per group, columns ``<value>@<prob>``; groups hold no null.
 
@@ -96,7 +97,7 @@ def grouped_quantiles(
     ``in_memory`` rows a group fits one aggregation buffer and the built-in ``percentile`` is used; beyond,
     values are sorted across the cluster and the wanted positions picked out.
     """
-    if largest_group <= in_memory:
+    if largest_group <= (IN_MEMORY if in_memory is None else in_memory):
         return df.groupBy(*groups).agg(
             *[F.percentile(f"`{v}`", F.lit(p)).alias(f"{v}@{p}") for v in values for p in probs]
         )
