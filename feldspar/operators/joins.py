@@ -37,9 +37,11 @@ def key_join(rows: DataFrame, extra: DataFrame, keys: Sequence[str]) -> DataFram
 
 
 def membership_share(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """One row: share of b's keys that occur in a."""
-    members = b.join(a.select(key).withColumn("__in", F.lit(1)).distinct(), key, "left")
-    return members.agg(F.avg(F.coalesce(F.col("__in"), F.lit(0))).alias("share"))
+    """One row: share of b's rows whose key occurs in a. Both sides are reduced to distinct keys before they meet."""
+    counted = b.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    known = a.select(key).distinct().withColumn("__in", F.lit(1))
+    hits = F.sum(F.col("__n") * F.coalesce(F.col("__in"), F.lit(0)))
+    return counted.join(known, key, "left").agg((hits / F.sum("__n")).alias("share"))
 
 
 def contingency(df: DataFrame, column: str, target: str, classes: Sequence[int] = (0, 1)) -> DataFrame:

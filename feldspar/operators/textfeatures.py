@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from feldspar.functions import text as tx
 from feldspar.operators.profile import TRAIN, q
 from feldspar.plans.lookup import lookup_join
+from feldspar.plans.ordering import POSITION, group_positions, with_position
 from feldspar.plans.spread import spread
 from feldspar.plans.storage import materialize
 
@@ -108,16 +109,15 @@ def wide_terms(df: DataFrame, long: DataFrame, key: str, terms: Sequence[str], p
 def stack_features(blocks: Sequence[tuple[DataFrame, DataFrame]], key: str) -> tuple[DataFrame, DataFrame]:
     """Bind sparse blocks side by side: long (key, index, weight), and (block, term, index) of all columns.
 
-    Each block is (long weights, vocabulary of at most max_features rows).
+    Each block is (long weights, vocabulary); terms are numbered in sorted order.
     """
-    parts, catalogs = [], []
-    offset = F.lit(0).cast("long")
+    parts, catalogs, offset = [], [], 0
     for i, (long, vocab) in enumerate(blocks):
-        order = Window.orderBy("term")  # a vocabulary is bounded by its max_features
-        numbered = vocab.select("term", (F.row_number().over(order) - 1 + offset).alias("index"))
-        parts.append(long.join(F.broadcast(numbered), "term").select(key, "index", "weight"))
+        placed = with_position(vocab.select("term", "df"), [F.col("term")])
+        numbered = materialize(placed.select("term", "df", (F.col(POSITION) + offset).alias("index")))
+        parts.append(lookup_join(long, numbered, ["term"], weight="df", null_safe=False, stored=True).select(key, "index", "weight"))
         catalogs.append(numbered.select(F.lit(i).alias("block"), "term", "index"))
-        offset = offset + vocab.agg(F.count(F.lit(1)).alias("n")).scalar()
+        offset += numbered.count()
     out, catalog = parts[0], catalogs[0]
     for p, c in zip(parts[1:], catalogs[1:]):
         out, catalog = out.unionByName(p), catalog.unionByName(c)
@@ -157,14 +157,15 @@ def term_chi2(long: DataFrame, labels: DataFrame, key: str, targets: Sequence[st
 
 
 def rank_terms(chi2: DataFrame) -> DataFrame:
-    """Rank (0 = best) of every term per target."""
-    best = Window.partitionBy("target").orderBy(F.desc_nulls_last("chi2"), "term")
-    return chi2.withColumn("rank", F.row_number().over(best) - 1)
+    """Rank (0 = best) of every term per target, from positions in one cluster-wide order."""
+    ranked = group_positions(chi2, ["target"], [F.desc_nulls_last("chi2"), F.col("term")])
+    return ranked.withColumn("rank", F.col(POSITION).cast("int")).drop(POSITION, "__n")
 
 
 def top_terms(chi2: DataFrame, k: int = 150) -> DataFrame:
     """The k best terms per target. The limit is applied before the shuffle, so a target never fills a task."""
-    return rank_terms(chi2).filter(F.col("rank") < k)
+    best = Window.partitionBy("target").orderBy(F.desc_nulls_last("chi2"), "term")
+    return chi2.withColumn("rank", F.row_number().over(best) - 1).filter(F.col("rank") < k)
 
 
 def bag_of_words(chi2: DataFrame, k: int = 150) -> DataFrame:

@@ -24,9 +24,15 @@ SALTS = 256
 
 
 def table_bytes(table: DataFrame) -> int:
-    """Measured size of a table: string bytes plus 16 bytes per cell."""
-    text = [f.name for f in table.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    octets = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in text], F.lit(0))
+    """Measured size of a table: 16 bytes per cell, plus string bytes and 8 bytes per array element."""
+    parts = []
+    for f in table.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, T.ArrayType):
+            parts.append(F.when(c.isNotNull(), F.size(c) * 8).otherwise(0))
+    octets = reduce(lambda a, b: a + b, parts, F.lit(0))
     row = table.agg(F.count(F.lit(1)).alias("n"), F.sum(octets.cast("long")).alias("b")).first()
     return row["n"] * 16 * max(len(table.columns), 1) + (row["b"] or 0)
 
