@@ -158,7 +158,8 @@ def term_chi2(long: DataFrame, labels: DataFrame, key: str, targets: Sequence[st
 
 def rank_terms(chi2: DataFrame) -> DataFrame:
     """Rank (0 = best) of every term per target, from positions in one cluster-wide order."""
-    ranked = group_positions(chi2, ["target"], [F.desc_nulls_last("chi2"), F.col("term")])
+    falling = -F.coalesce(F.col("chi2"), F.lit(float("-inf")))
+    ranked = group_positions(chi2, ["target"], [falling, F.col("term")])
     return ranked.withColumn("rank", F.col(POSITION).cast("int")).drop(POSITION, "__n")
 
 

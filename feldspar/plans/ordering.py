@@ -29,7 +29,7 @@ def _local(c: Column) -> Column:
 
 
 def lay_out(df: DataFrame, order: Sequence[Column], ties: bool = False) -> DataFrame:
-    """Range-partition and sort by ``order``; adds ``__mid`` (partition number and row number in it)."""
+    """Range-partition and sort by ``order`` (ascending values, nulls first); adds ``__mid`` (partition number and row number in it)."""
     names = [f"__o{i}" for i in range(len(order))]
     keyed = df.select("*", *[o.alias(n) for o, n in zip(order, names)])
     by = [F.col(n) for n in names]
