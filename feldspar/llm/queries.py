@@ -38,3 +38,17 @@ def op6_jump_consistent_hashing(spark: SparkSession, folder: str) -> DataFrame:
     from feldspar.llm.sharding import assign
 
     return assign(table(spark, folder, "documents"), shards=24)
+
+
+@query
+def op4_language_codes(spark: SparkSession, folder: str) -> DataFrame:
+    from feldspar.llm.langid import identify
+
+    return identify(table(spark, folder, "documents"))
+
+
+@query
+def op7_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from feldspar.llm.packing import harmonic
+
+    return harmonic(table(spark, folder, "documents"))
