@@ -52,3 +52,10 @@ def op7_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     from feldspar.llm.packing import harmonic
 
     return harmonic(table(spark, folder, "documents"))
+
+
+@query
+def op3_subsequence_kernel(spark: SparkSession, folder: str) -> DataFrame:
+    from feldspar.llm.toxicity import detect
+
+    return detect(table(spark, folder, "documents"), table(spark, folder, "labels"))
