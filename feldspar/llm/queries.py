@@ -59,3 +59,10 @@ def op3_subsequence_kernel(spark: SparkSession, folder: str) -> DataFrame:
     from feldspar.llm.toxicity import detect
 
     return detect(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op9_multiprobe_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    from feldspar.llm.ann import nearest
+
+    return nearest(table(spark, folder, "embeddings"))
