@@ -66,3 +66,10 @@ def op9_multiprobe_hashing(spark: SparkSession, folder: str) -> DataFrame:
     from feldspar.llm.ann import nearest
 
     return nearest(table(spark, folder, "embeddings"))
+
+
+@query
+def op1_cover_tree_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    from feldspar.llm.covertree import link
+
+    return link(table(spark, folder, "embeddings"))

@@ -12,13 +12,17 @@ def squared_norm(c: Column) -> Column:
     return F.aggregate(c, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
 
 
-def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """(key, vector, ...) rows whose vector is not null or zero and holds finite numbers only, in the commonest length."""
+def is_usable(key: str, vector: str) -> Column:
+    """True if the vector and the id are not null, and the vector is not zero and holds finite numbers only."""
     v = F.col(vector)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
-    rows = rows.where(F.col(key).isNotNull() & v.isNotNull() & (F.size(v) > 0) & F.coalesce(finite, F.lit(False)))
     norm = squared_norm(v)
-    rows = rows.where((norm > 0) & (norm < float("inf")))
+    return F.coalesce(F.col(key).isNotNull() & v.isNotNull() & (F.size(v) > 0) & finite & (norm > 0) & (norm < float("inf")), F.lit(False))
+
+
+def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
+    """The rows whose vector is usable and has the commonest length."""
+    v, rows = F.col(vector), rows.where(is_usable(key, vector))
     top = rows.groupBy(F.size(v).alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
     return rows.where(F.size(v) == F.lit(top["d"] if top else 0))
 
