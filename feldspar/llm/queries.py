@@ -73,3 +73,10 @@ def op1_cover_tree_pairs(spark: SparkSession, folder: str) -> DataFrame:
     from feldspar.llm.covertree import link
 
     return link(table(spark, folder, "embeddings"))
+
+
+@query
+def op8_warc_segments(spark: SparkSession, folder: str) -> DataFrame:
+    from feldspar.llm.warc import round_trip
+
+    return round_trip(table(spark, folder, "pages"))
