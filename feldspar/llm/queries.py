@@ -80,3 +80,10 @@ def op8_warc_segments(spark: SparkSession, folder: str) -> DataFrame:
     from feldspar.llm.warc import round_trip
 
     return round_trip(table(spark, folder, "pages"))
+
+
+@query
+def op2_size_aware_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    from feldspar.llm.jaccard import link
+
+    return link(table(spark, folder, "documents"))
