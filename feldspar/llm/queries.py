@@ -87,3 +87,10 @@ def op2_size_aware_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     from feldspar.llm.jaccard import link
 
     return link(table(spark, folder, "documents"))
+
+
+@query
+def op10_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    from feldspar.llm.lines import dedup
+
+    return dedup(table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
