@@ -5,7 +5,7 @@ product is the smallest distance. Each table hashes by ``k`` Gaussian projection
 visits buckets in the order of their estimated success: the chance that a neighbour at the typical distance, whose
 projections lie normally around the query's, falls into the bucket. It stops when the visited chances of a table add up
 to ``target``. Buckets are laid out in blocks of bounded size, whatever their size; a task compares a block of vectors
-with a block of queries by exact inner products and hands on the best of each query. The best of all tables are merged.
+with a block of queries by exact inner products and keeps the best of each query and hands them on at its end. The best of all tables are merged.
 A query for which fewer than ``top`` were found visits all buckets.
 
 k grows with the logarithm of the number of vectors; the typical distance comes from a bounded sample, which only
@@ -31,6 +31,8 @@ from feldspar.plans.storage import materialize
 TABLES, TARGET, WIDTH = 2, 0.78, 2.0
 #: Vectors a bucket is meant to hold, and vectors and queries a block holds.
 BUCKET_ROWS, BLOCK_ROWS, BLOCK_QUERIES = 1024, 1024, 512
+#: Results that a task holds back to merge them before they are shuffled.
+HELD_ROWS = 1_000_000
 #: Rows of the sample from which the typical distance is taken.
 SAMPLE = 2048
 
@@ -88,13 +90,24 @@ def _blocks(rows: DataFrame, size: int, names: list[str]) -> DataFrame:
 
 
 def _search(index: DataFrame, probes: DataFrame, top: int) -> DataFrame:
-    """(query_id, vec_id, score): the best of each query in each pair of blocks."""
+    """(query_id, vec_id, score): the best of each query in the pairs of blocks of each task."""
+
+    def best_of(found: list[tuple]) -> tuple:
+        """The first ``top`` of each query in some (queries, ids, scores)."""
+        a, b, s = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((b, -s, a))
+        a, b, s = a[order], b[order], s[order]
+        new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        a, b, s = a[new], b[new], s[new]
+        keep = np.arange(len(a)) - np.searchsorted(a, a) < top
+        return a[keep], b[keep], s[keep]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0  # the best of the task so far
         for batch in batches:
             for i in range(batch.num_rows):
                 ids, queries = (batch.column(c)[i].values.to_numpy() for c in (0, 2))
-                x, q = (batch.column(c)[i].values.to_numpy().astype(np.float64).reshape(n, -1) for c, n in ((1, len(ids)), (3, len(queries))))
+                x, q = (batch.column(c)[i].values.to_numpy().astype(np.float64).reshape(m, -1) for c, m in ((1, len(ids)), (3, len(queries))))
                 found = q @ x.T
                 found[queries[:, None] == ids[None, :]] = -np.inf
                 if len(ids) > top:
@@ -102,12 +115,18 @@ def _search(index: DataFrame, probes: DataFrame, top: int) -> DataFrame:
                     a, b = np.nonzero((found >= (cut - 1e-9 * (1 + np.abs(cut)))[:, None]) & (found > -np.inf))
                 else:
                     a, b = np.nonzero(found > -np.inf)
-                s = scores(q[a], x[b])
-                order = np.lexsort((ids[b], -s, a))
-                a, b, s = a[order], b[order], s[order]
-                rank = np.arange(len(a)) - np.searchsorted(a, a)
-                keep = rank < top
-                yield pa.RecordBatch.from_arrays([pa.array(queries[a[keep]]), pa.array(ids[b[keep]]), pa.array(s[keep])], ["query_id", "vec_id", "score"])
+                if not len(a):
+                    continue
+                held.append(best_of([(queries[a], ids[b], scores(q[a], x[b]))]))
+                n += len(held[-1][0])
+                if n > HELD_ROWS:
+                    held = [best_of(held)]
+                    n = len(held[0][0])
+                    if n > HELD_ROWS // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held[0]], ["query_id", "vec_id", "score"])
+                        held, n = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in best_of(held)], ["query_id", "vec_id", "score"])
 
     pairs = index.join(probes, "at").select("ids", "vectors", "queries", "asked")
     return pairs.mapInArrow(compare, "query_id bigint, vec_id bigint, score double")

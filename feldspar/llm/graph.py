@@ -70,3 +70,16 @@ def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[str], name:
     placed = placed.withColumn("__at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1, F.lit(block).cast("long"))))
     last = F.least(F.col("__at") + (block - 1), F.col("__n") - 1)
     return placed.withColumn("__k", F.explode(F.sequence(F.col("__at"), last))).select(*kept, (F.col("__first") + F.col("__k")).alias(name))
+
+
+def identified(docs: DataFrame, key: str) -> DataFrame:
+    """(doc: struct of all columns, uid: long), a number that tells rows apart and follows the order of ``key``.
+
+    Whole keys that are all different and not null are the numbers. Otherwise the rows are sorted by key, nulls last,
+    and written with row numbers, so that every later pass sees the same ones.
+    """
+    n, different = docs.agg(F.count(F.lit(1)), F.count_distinct(F.col(key))).first()
+    if n == different and dict(docs.dtypes)[key] in ("bigint", "int"):
+        return docs.select(F.struct("*").alias("doc"), F.col(key).cast("long").alias("uid"))
+    ordered = docs.select(F.struct("*").alias("doc"), F.col(key).alias("key")).sort(F.col("key").asc_nulls_last())
+    return materialize(ordered.select("doc", F.monotonically_increasing_id().alias("uid")))

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feldspar.llm.graph import components
+from feldspar.llm.graph import components, identified
 from feldspar.plans.storage import materialize
 
 WORDS, PERCENT = 5, 80
@@ -300,3 +300,16 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     linked = named.where("n > 0").join(told, "k").select("id", "n", "component_id")
     out = linked.union(named.where("n = 0").select("id", "n", F.col("id").alias("component_id")))
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+#: So many rows that go are broadcast; more are joined by a shuffle.
+SENT_MOST = 1_000_000
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that have no similar document with a smaller id; of equal ids one row stays."""
+    held = identified(docs, key)
+    told = link(held.select("uid", F.col(f"doc.`{text}`").alias("text")), "uid", "text")
+    gone = materialize(told.where("NOT kept").select("uid"))
+    gone = F.broadcast(gone) if gone.count() <= SENT_MOST else gone
+    return held.join(gone, "uid", "left_anti").select("doc.*")

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feldspar.llm.graph import components
+from feldspar.llm.graph import components, identified
 from feldspar.plans.lookup import table_bytes
 from feldspar.plans.storage import materialize
 
@@ -161,13 +161,8 @@ def line_links(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of ``docs`` with the text reduced to its kept lines, and n_lines, n_dropped (lines that are not blank)."""
-    counts = docs.agg(F.count(F.lit(1)), F.count_distinct(F.col(key))).first()
     plain = docs.drop("n_lines", "n_dropped")
-    if counts[0] == counts[1] and dict(docs.dtypes)[key] in ("bigint", "int"):
-        held = plain.select(F.struct("*").alias("doc"), F.col(key).cast("long").alias("uid"), F.col(text).cast("string").alias("text"))
-    else:
-        ordered = plain.select(F.struct("*").alias("doc"), F.col(key).alias("k"), F.col(text).cast("string").alias("text")).sort(F.col("k").asc_nulls_last())
-        held = materialize(ordered.select("doc", F.monotonically_increasing_id().alias("uid"), "text"))
+    held = identified(plain, key).select("doc", "uid", F.col(f"doc.`{text}`").cast("string").alias("text"))
     seen = materialize(_occurrences(held))
     classes = materialize(seen.groupBy("h").agg(F.min("s").alias("s"), F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "pos")).alias("first")))
     parts = components(line_links(held, classes)).withColumnRenamed("node", "h")

@@ -94,3 +94,10 @@ def op10_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     from feldspar.llm.lines import dedup
 
     return dedup(table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, folder)

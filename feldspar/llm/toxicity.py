@@ -98,6 +98,25 @@ def triples(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return r, u, w / norm[r]
 
 
+def look_up(strings: list[str], names: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Weighted sum over the triples of each string of the rows (or numbers) that ``table`` has for the sorted ``names``."""
+    r, u, w = triples(strings)
+    if not len(names):
+        return np.zeros((len(strings), *table.shape[1:]))
+    at = np.minimum(np.searchsorted(names, u), len(names) - 1)
+    hit = names[at] == u
+    r, at, w = r[hit], at[hit], w[hit]
+    if table.ndim == 1:
+        return np.bincount(r, w * table[at], len(strings))
+    out = np.zeros((len(strings), table.shape[1]))
+    order = np.argsort(r, kind="stable")
+    for i in range(0, len(order), 20_000):
+        some = order[i : i + 20_000]
+        owners, first = np.unique(r[some], return_index=True)
+        out[owners] += np.add.reduceat(w[some, None] * table[at[some]], first, axis=0)
+    return out
+
+
 class Kernel:
     """Kernel values of strings to a fixed list of landmarks."""
 
@@ -105,34 +124,18 @@ class Kernel:
         self.landmarks = landmarks
         r, u, w = triples(landmarks)
         self.names, at = np.unique(u, return_inverse=True)
-        self.table = np.zeros((len(self.names), len(landmarks)))
+        self.table = np.zeros((len(self.names), len(landmarks)), np.float32)
         np.add.at(self.table, (at, r), w)
 
-    def look_up(self, strings: list[str], table: np.ndarray) -> np.ndarray:
-        """Sum of table rows over the triples of each string."""
-        r, u, w = triples(strings)
-        at = np.minimum(np.searchsorted(self.names, u), max(len(self.names) - 1, 0))
-        hit = self.names[at] == u if len(self.names) else np.zeros(len(u), bool)
-        r, at, w = r[hit], at[hit], w[hit]
-        if table.ndim == 1:
-            return np.bincount(r, w * table[at], len(strings))
-        out = np.zeros((len(strings), table.shape[1]))
-        order = np.argsort(r, kind="stable")
-        for i in range(0, len(order), 50_000):
-            some = order[i : i + 50_000]
-            owners, first = np.unique(r[some], return_index=True)
-            out[owners] += np.add.reduceat(w[some, None] * table[at[some]], first, axis=0)
-        return out
-
     def values(self, strings: list[str]) -> np.ndarray:
-        return self.look_up(strings, self.table)
+        return look_up(strings, self.names, self.table)
 
 
 class Model:
     """Weights per triple, an intercept, and the squashing of a decision value to a score."""
 
     def __init__(self, kernel: Kernel, by_landmark: np.ndarray, intercept: float):
-        self.kernel, self.intercept = kernel, intercept
+        self.names, self.intercept = kernel.names, intercept
         self.weights = kernel.table @ by_landmark
         self.slope, self.shift = 4.0, 0.0
         self.kept: dict[str, float] = {}
@@ -152,7 +155,7 @@ class Model:
             owner = np.repeat(np.arange(len(some)), [len(c) for c in cut])
             worst = np.full(len(some), -np.inf)
             if len(owner):
-                np.maximum.at(worst, owner, self.kernel.look_up([p for c in cut for p in c], self.weights))
+                np.maximum.at(worst, owner, look_up([p for c in cut for p in c], self.names, self.weights))
             kept.update(zip(some, (worst + self.intercept).tolist()))
         out = []
         for f in found:
@@ -233,8 +236,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     counts = counts.agg(F.sum(F.expr("n * toxic")).alias("a"), F.sum(F.expr("n * (1 - toxic)")).alias("b"))
     counts = materialize(counts.where("a + b > 1"))
     n, m = sizes[1], sizes[0]
-    suspects = counts.where(F.col("a") / n > F.col("b") / m).orderBy(F.desc(F.col("a") / n - 4 * F.col("b") / m), "span").limit(TOXIC_LANDMARKS * 10).toPandas()
-    common = counts.where(F.col("b") / m >= F.col("a") / n).orderBy(F.desc("b"), "span").limit(CLEAN_LANDMARKS * 10).toPandas()["span"].tolist()
+    suspects = counts.where(F.col("a") / n > F.col("b") / m).orderBy(F.desc(F.col("a") / n - 4 * F.col("b") / m), "span").limit(TOXIC_LANDMARKS * 3).toPandas()
+    common = counts.where(F.col("b") / m >= F.col("a") / n).orderBy(F.desc("b"), "span").limit(CLEAN_LANDMARKS * 3).toPandas()["span"].tolist()
     suspects = suspects.assign(g=_evidence(suspects["a"].to_numpy(float), n, suspects["b"].to_numpy(float), m)).sort_values(["g", "span"], ascending=[False, True])
     strong = suspects[suspects["g"] >= EVIDENCE]
     strong = strong if len(strong) else suspects.head(4)
@@ -256,13 +259,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             for batch in batches:
                 found = zip(model.worst(batch.column(0).to_pylist()), batch.column(1).to_pylist())
                 found = [(parts(span), float(y)) for (value, span), y in found if span is not None and (y == 0 or value > -1)]
-                values = model.kernel.look_up([p for x, _ in found for p in x], model.weights).tolist()
+                values = look_up([p for x, _ in found for p in x], model.names, model.weights).tolist()
                 worst = [max((values.pop(0), p) for p in x)[1] for x, _ in found]
                 yield pa.RecordBatch.from_arrays([pa.array(worst, pa.string()), pa.array([y for _, y in found], pa.float64())], ["span", "label"])
 
         mined = rows.mapInArrow(mine, "span string, label double").groupBy("span", "label").agg(F.log1p(F.count(F.lit(1)).cast("double")).alias("weight"))
         examples = materialize(examples.union(mined).groupBy("span", "label").agg(F.max("weight").alias("weight")))
-        hard = examples.where("label = 0").orderBy(F.desc("weight"), "span").limit(CLEAN_LANDMARKS * 10).toPandas()["span"].tolist()
+        hard = examples.where("label = 0").orderBy(F.desc("weight"), "span").limit(CLEAN_LANDMARKS * 3).toPandas()["span"].tolist()
         hard = _apart([h for h in hard if h not in set(clean)], CLEAN_LANDMARKS, clean)
         model = _train(examples, toxic + clean + hard)
     if model is None:
