@@ -40,7 +40,7 @@ FREQUENT, FREQUENT_MOST = 40, 400_000
 #: Sets of more elements are heavy whatever the costs say.
 LIGHT_MOST = 14
 #: Word hashes that a Python worker keeps.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 200_000
 
 _words: dict[bytes, int] = {}
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)

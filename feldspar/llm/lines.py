@@ -35,7 +35,7 @@ BITS, SIMILAR = 3, 0.8
 #: Bits at which the blocks of a SimHash begin and end.
 EDGES = (0, 13, 26, 39, 52, 64)
 #: Word hashes that a Python worker keeps, and words that are counted at once.
-KEPT_WORDS, WORDS_AT_ONCE = 1_000_000, 60_000
+KEPT_WORDS, WORDS_AT_ONCE = 200_000, 40_000
 #: So many line hashes, and so many bytes of dropped line numbers, are broadcast; more are joined by a shuffle.
 SENT_MOST, SENT_BYTES = 500_000, 32 << 20
 

@@ -45,9 +45,9 @@ EVIDENCE = 12.0
 #: Scores from here on are predicted toxic.
 THRESHOLD = 0.7
 #: Texts that are scored together.
-ROWS_AT_ONCE = 512
+ROWS_AT_ONCE = 128
 #: Scored spans that a Python worker keeps between batches.
-KEPT_SPANS = 400_000
+KEPT_SPANS = 100_000
 
 _EDGE = re.compile(r"^\W+|\W+$")
 _TRIPLES = [(j, k) for k in range(2, WINDOW) for j in range(1, k)]
@@ -110,8 +110,8 @@ def look_up(strings: list[str], names: np.ndarray, table: np.ndarray) -> np.ndar
         return np.bincount(r, w * table[at], len(strings))
     out = np.zeros((len(strings), table.shape[1]))
     order = np.argsort(r, kind="stable")
-    for i in range(0, len(order), 20_000):
-        some = order[i : i + 20_000]
+    for i in range(0, len(order), 5000):
+        some = order[i : i + 5000]
         owners, first = np.unique(r[some], return_index=True)
         out[owners] += np.add.reduceat(w[some, None] * table[at[some]], first, axis=0)
     return out
@@ -149,8 +149,8 @@ class Model:
         if len(kept) > KEPT_SPANS:
             kept.clear()
         new = list(set().union(*found).difference(kept))
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
+        for i in range(0, len(new), 4000):
+            some = new[i : i + 4000]
             cut = [parts(s) for s in some]
             owner = np.repeat(np.arange(len(some)), [len(c) for c in cut])
             worst = np.full(len(some), -np.inf)
@@ -204,7 +204,11 @@ def _train(examples: DataFrame, landmarks: list[str]) -> Model | None:
 
     def coordinates(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for c in columns:
-            yield pa.array((kernel.values(c.to_pylist()) @ whiten).tolist(), pa.list_(pa.float64()))
+            out, width = [], whiten.shape[1]
+            for i in range(0, len(c), 2000):
+                out.append((kernel.values(c.slice(i, 2000).to_pylist()) @ whiten).ravel())
+            flat = np.concatenate(out) if out else np.empty(0)
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(c) + 1, dtype=np.int32) * width, pa.int32()), pa.array(flat))
 
     rows = materialize(examples.select(array_to_vector(F.arrow_udf(coordinates, "array<double>")("span")).alias("features"), "label", "weight").coalesce(4))
     if rows.select("label").distinct().count() < 2:
@@ -256,8 +260,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             return None
 
         def mine(batches: Iterator[pa.RecordBatch], model: Model = model) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                found = zip(model.worst(batch.column(0).to_pylist()), batch.column(1).to_pylist())
+            for some in (batch.slice(i, ROWS_AT_ONCE) for batch in batches for i in range(0, batch.num_rows, ROWS_AT_ONCE)):
+                found = zip(model.worst(some.column(0).to_pylist()), some.column(1).to_pylist())
                 found = [(parts(span), float(y)) for (value, span), y in found if span is not None and (y == 0 or value > -1)]
                 values = look_up([p for x, _ in found for p in x], model.names, model.weights).tolist()
                 worst = [max((values.pop(0), p) for p in x)[1] for x, _ in found]
@@ -273,7 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     def values(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for c in columns:
-            yield pa.array([v for v, _ in model.worst(c.to_pylist())], pa.float64())
+            yield pa.array([v for i in range(0, len(c), ROWS_AT_ONCE) for v, _ in model.worst(c.slice(i, ROWS_AT_ONCE).to_pylist())], pa.float64())
 
     seen = rows.select("toxic", F.arrow_udf(values, "double")("text").alias("f")).where("f > -1e300").toPandas()  # 2 * rows_per_class numbers
     model.slope, model.shift = _squash(seen["f"].to_numpy(), seen["toxic"].to_numpy(float))
