@@ -143,7 +143,7 @@ def _(spark, d):
     + f" AS BIGINT) AS pattern, count(*) AS n_rows FROM ({HOUSES}) GROUP BY 1",
 )
 def _(spark, d):
-    return pf.null_pattern_count(houses(spark, d), CELLS)
+    return pf.null_pattern_count(houses(spark, d), CELLS, as_number=True)
 
 
 @query(
@@ -163,16 +163,16 @@ def _(spark, d):
 
 @query(
     "left_join_lookup",
-    """SELECT c_custkey, coalesce(n_orders, 0) AS n_orders, coalesce(spent, 0.0) AS spent FROM customer LEFT JOIN
-  (SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS spent FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
-  ON c_custkey = o_custkey""",
+    """SELECT 2 * c_custkey AS c_custkey, coalesce(n_orders, 0) AS n_orders, coalesce(spent, 0.0) AS spent FROM customer LEFT JOIN
+  (SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS spent FROM orders GROUP BY 1)
+  ON 2 * c_custkey = o_custkey""",
     rounds=["spent"],
     digits=2,
 )
 def _(spark, d):
-    done = table(spark, d, "orders").filter("o_orderstatus = 'F'")
-    totals = jn.group_table(done, ["o_custkey"], {"n_orders": F.count(F.lit(1)), "spent": F.sum("o_totalprice")})
-    rows = table(spark, d, "customer").select("c_custkey")
+    """Doubled keys, so that half of the rows have no match."""
+    totals = jn.group_table(table(spark, d, "orders"), ["o_custkey"], {"n_orders": F.count(F.lit(1)), "spent": F.sum("o_totalprice")})
+    rows = table(spark, d, "customer").select((2 * F.col("c_custkey")).alias("c_custkey"))
     return jn.left_join_lookup(
         rows, totals.withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"], "n_orders", {"n_orders": 0, "spent": 0.0}
     )
@@ -596,9 +596,9 @@ def _(spark, d):
 
 @query(
     "entity_union",
-    "SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F' UNION SELECT c_custkey FROM customer WHERE c_acctbal > 5000",
+    "SELECT DISTINCT o_custkey AS k FROM orders UNION SELECT c_custkey FROM customer",
 )
 def _(spark, d):
-    a = table(spark, d, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("k"))
-    b = table(spark, d, "customer").filter("c_acctbal > 5000").select(F.col("c_custkey").alias("k"))
+    a = table(spark, d, "orders").select(F.col("o_custkey").alias("k"))
+    b = table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
     return so.distinct_union([a, b], "k")

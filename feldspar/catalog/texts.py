@@ -161,13 +161,13 @@ def _(spark, d):
 
 @query(
     "vocabulary_union",
-    f"""SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{WORD}')) AS term FROM documents WHERE lang = 'en'
-UNION SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{WORD}')) FROM documents WHERE source = (SELECT min(source) FROM documents)""",
+    f"""SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{WORD}')) AS term FROM documents SEMI JOIN labels USING (doc_id)
+UNION SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{WORD}')) FROM documents ANTI JOIN labels USING (doc_id)""",
 )
 def _(spark, d):
-    docs = table(spark, d, "documents")
-    first = docs.agg(F.min("source").alias("s")).scalar()
-    frames = [f.select(F.explode(tx.words(F.col("text"))).alias("term")) for f in (docs.filter("lang = 'en'"), docs.filter(F.col("source") == first))]
+    """Labelled and unlabelled documents, as train and test texts."""
+    docs = comments(spark, d)
+    frames = [f.select(F.explode(tx.words(F.col("comment_text"))).alias("term")) for f in (docs.filter("is_train = 1"), docs.filter("is_train = 0"))]
     return so.distinct_union(frames, "term")
 
 

@@ -225,19 +225,23 @@ def interaction_codes(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame,
     return df, new
 
 
-def one_hot(df: DataFrame, columns: Sequence[str], limit: int = 1000) -> tuple[DataFrame, list[str]]:
-    """Indicator per value plus one for null. A column with more than ``limit`` values is refused."""
+def one_hot(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Indicator column per value plus one for null; ``one_hot_long`` holds as many values without columns of their own."""
     new = {}
     for c in columns:
-        values = df.select(q(c)).filter(q(c).isNotNull()).distinct().limit(limit + 1).collect()
-        if len(values) > limit:
-            raise ValueError(f"{c} has more than {limit} values; use category_codes or a hashed encoding")
+        values = df.select(q(c)).filter(q(c).isNotNull()).distinct().collect()  # one row per new column
         for v in sorted(r[0] for r in values):
             new[f"{c}_{v}"] = q(c).eqNullSafe(F.lit(v)).cast("int")
         new[f"{c}_nan"] = q(c).isNull().cast("int")
     return df.withColumns(new), list(new)
 
 
+def one_hot_long(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """(key, feature): the indicators of every row that are 1, for columns with more values than a schema can hold."""
+    names = [F.concat(F.lit(f"{c}_"), F.coalesce(q(c).cast("string"), F.lit("nan"))) for c in columns]
+    return df.select(q(key), F.explode(F.array(*names)).alias("feature"))
+
+
 def binary_encode(df: DataFrame, columns: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """Bits (most significant first) of the value's index by first appearance over train, then test rows."""
     new = []

@@ -117,9 +117,14 @@ def attach_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.withColumns(columns)
 
 
-def null_pattern_count(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows per pattern; bit i (weight 2**i) is set where column i is present. Beyond 62 columns a bit string."""
-    if len(columns) <= 62:
+def null_pattern_count(df: DataFrame, columns: Sequence[str], as_number: bool = False) -> DataFrame:
+    """Rows per pattern, a string with a 1 for each column that is present, in column order.
+
+    ``as_number`` gives a bigint instead, where bit i (weight 2**i) stands for column i; that takes 62 columns at most.
+    """
+    if as_number:
+        if len(columns) > 62:
+            raise ValueError("as_number takes at most 62 columns")
         bits = [F.when(q(c).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, c in enumerate(columns)]
         pattern = reduce(lambda a, b: a + b, bits)
     else:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from feldspar.operators.profile import q
 from feldspar.plans.lookup import lookup_join
 from feldspar.plans.percolumn import tables_by_column
+from feldspar.plans.storage import materialize
 
 
 def _unpivot(df: DataFrame, group: str, columns: Sequence[str]) -> DataFrame:
@@ -116,11 +117,12 @@ def _log_factorial(n: np.ndarray) -> np.ndarray:
 def _expected_cell(a: int, b: int, n: int) -> float:
     """Expected mutual-information term of one contingency cell with marginals a, b under random labels.
 
-    The hypergeometric weight beyond 60 deviations of its mean is below the smallest double.
+    By Bernstein's inequality for the hypergeometric distribution, P(|k - mean| >= t) <= 2 exp(-t^2 / (2 (mean + t/3))).
+    The terms left out have t >= 230 + sqrt(230^2 + 1380 mean), so that their weight is at most 2 exp(-690) < 1e-299.
     """
     low, high = max(1, a + b - n), min(a, b)
     mean = a * b / n
-    spread = 60 * math.sqrt(max(mean * (1 - a / n) * (1 - b / n), 1.0)) + 60
+    spread = 230 + math.sqrt(230**2 + 1380 * mean)
     low, high = max(low, int(mean - spread)), min(high, int(mean + spread) + 1)
     if high < low:
         return 0.0
@@ -136,46 +138,40 @@ def _expected_cell(a: int, b: int, n: int) -> float:
     return float(np.sum(k / n * np.log(n * k / (a * b)) * np.exp(log_p)))
 
 
-def adjusted_mutual_info(df: DataFrame, columns: Sequence[str], target: str, max_classes: int = 1000) -> DataFrame:
+def adjusted_mutual_info(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """(column, ami) = (MI - E[MI]) / (max(H1, H2) - E[MI]).
 
-    MI and entropies are sums over the contingency table. E[MI] needs only the marginals: category sizes are
-    counted first (equal sizes contribute equally), each is paired with the class sizes, and the cells are
-    evaluated in Arrow batches across the cluster.
+    One pass counts the cells (column, value, class) of all columns in long form; everything else comes from these
+    counts. E[MI] needs only the marginals: sizes that occur often are counted first (equal sizes contribute equally),
+    and each pair of a value size and a class size is evaluated in Arrow batches across the cluster.
     """
-    classes = df.groupBy(q(target).alias("t")).agg(F.count(F.lit(1)).alias("n")).limit(max_classes + 1).collect()
-    if len(classes) > max_classes:
-        raise ValueError(f"{target} has more than {max_classes} classes")
-    total = sum(r["n"] for r in classes)
-    sizes = [int(r["n"]) for r in classes]
-    h_target = -sum(s / total * math.log(s / total) for s in sizes)
-    aggs = [F.count_if(q(target).eqNullSafe(F.lit(r["t"]))).alias(f"c{i}") for i, r in enumerate(classes)]
-    tables = tables_by_column(df, columns, aggs)
+    named = [F.struct(F.lit(c).alias("column"), q(c).cast("string").alias("v")) for c in columns]
+    cells = df.select(q(target).cast("string").alias("t"), F.explode(F.array(*named)).alias("x"))
+    cells = materialize(cells.groupBy("x.column", "x.v", "t").agg(F.count(F.lit(1)).cast("double").alias("k")))
+    total = cells.filter(F.col("column") == columns[0]).agg(F.sum("k")).first()[0] or 0.0
     n = F.lit(float(total))
-
-    def cells(batches):
+    values = cells.groupBy("column", "v").agg(F.sum("k").alias("a"))
+    classes = cells.filter(F.col("column") == columns[0]).groupBy("t").agg(F.sum("k").alias("b"))
+    values, classes = materialize(values), materialize(classes)
+    told = cells.join(values.withColumnsRenamed({"column": "c2", "v": "v2"}), (F.col("column") == F.col("c2")) & F.col("v").eqNullSafe(F.col("v2")))
+    told = told.join(classes.withColumnRenamed("t", "t2"), F.col("t").eqNullSafe(F.col("t2")))
+    mi = told.groupBy("column").agg(F.sum(F.col("k") / n * F.log(n * F.col("k") / (F.col("a") * F.col("b")))).alias("mi"))
+    h = values.groupBy("column").agg((-F.sum(F.col("a") / n * F.log(F.col("a") / n))).alias("h"), F.count(F.lit(1)).alias("values"))
+    g = classes.agg((-F.sum(F.col("b") / n * F.log(F.col("b") / n))).alias("g"), F.count(F.lit(1)).alias("classes")).first()
+
+    def expected_of(batches):
         for pdf in batches:
-            value = [m * sum(_expected_cell(int(a), b, total) for b in sizes) for a, m in zip(pdf["a"], pdf["m"])]
-            yield pd.DataFrame({"column": pdf["column"], "e": value})
-
-    exact, marginals = None, None
-    for c in columns:
-        t = tables[c]
-        a = F.col("__n").cast("double")
-        mi = F.lit(0.0)
-        for i, s in enumerate(sizes):
-            k = F.col(f"c{i}").cast("double")
-            mi = mi + F.when(k > 0, k / n * F.log(n * k / (a * F.lit(float(s))))).otherwise(F.lit(0.0))
-        one = t.agg(F.sum(mi).alias("mi"), (-F.sum(a / n * F.log(a / n))).alias("h"), F.count(F.lit(1)).alias("values"))
-        one = one.select(F.lit(c).alias("column"), "mi", "h", "values")
-        m = t.groupBy(F.lit(c).alias("column"), F.col("__n").alias("a")).agg(F.count(F.lit(1)).alias("m"))
-        exact = one if exact is None else exact.unionByName(one)
-        marginals = m if marginals is None else marginals.unionByName(m)
-    expected = marginals.mapInPandas(cells, "column string, e double").groupBy("column").agg(F.sum("e").alias("e"))
-    top = F.greatest(F.col("h"), F.lit(h_target))
-    trivial = (F.col("values") <= 1) & F.lit(len(sizes) <= 1)  # two constant labellings agree fully
+            cell = [m * _expected_cell(int(a), int(b), int(total)) for a, b, m in zip(pdf["a"], pdf["b"], pdf["m"])]
+            yield pd.DataFrame({"column": pdf["column"], "e": cell})
+
+    sizes = values.groupBy("column", "a").agg(F.count(F.lit(1)).alias("m_a"))
+    class_sizes = classes.groupBy("b").agg(F.count(F.lit(1)).alias("m_b")).crossJoin(cells.select("column").distinct())
+    pairs = sizes.join(class_sizes, "column").select("column", "a", "b", (F.col("m_a") * F.col("m_b")).alias("m"))
+    expected = pairs.mapInPandas(expected_of, "column string, e double").groupBy("column").agg(F.sum("e").alias("e"))
+    top = F.greatest(F.col("h"), F.lit(g["g"]))
+    trivial = (F.col("values") <= 1) & F.lit(g["classes"] <= 1)  # two constant labellings agree fully
     ami = F.when(trivial, F.lit(1.0)).otherwise((F.col("mi") - F.col("e")) / F.nullif(top - F.col("e"), F.lit(0.0)))
-    return exact.join(expected, "column").select("column", ami.alias("ami"))
+    return mi.join(h, "column").join(expected, "column").select("column", ami.alias("ami"))
 
 
 def top_mutual_info(df: DataFrame, columns: Sequence[str], target: str, k: int = 20) -> DataFrame:

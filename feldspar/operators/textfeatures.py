@@ -166,7 +166,7 @@ def rank_terms(chi2: DataFrame) -> DataFrame:
 def top_terms(chi2: DataFrame, k: int = 150) -> DataFrame:
     """The k best terms per target. The limit is applied before the shuffle, so a target never fills a task."""
     best = Window.partitionBy("target").orderBy(F.desc_nulls_last("chi2"), "term")
-    return chi2.withColumn("rank", F.row_number().over(best) - 1).filter(F.col("rank") < k)
+    return chi2.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).withColumn("rank", F.col("rank") - 1)
 
 
 def bag_of_words(chi2: DataFrame, k: int = 150) -> DataFrame:

@@ -115,9 +115,18 @@ def test_flag_arrays_equal_single_columns(spark, labelled):
     assert np.allclose(np.stack(a[smooth]), b[smooth_names])
 
 
-def test_one_hot_refuses_too_many_values(spark):
-    with pytest.raises(ValueError, match="more than 5"):
-        encode.one_hot(spark.range(10), ["id"], limit=5)
+def test_one_hot_of_many_values(spark):
+    df, new = encode.one_hot(spark.range(1001), ["id"])
+    assert len(new) == 1002
+    assert df.select(*new).toPandas().to_numpy().sum() == 1001
+    long = encode.one_hot_long(spark.range(1001).withColumn("k", F.col("id")), "k", ["id"]).collect()
+    assert sorted(r["feature"] for r in long) == sorted(f"id_{i}" for i in range(1001))
+
+
+def test_adjusted_mutual_info_of_many_classes(spark):
+    df = spark.range(2002).select((F.col("id") % 1001).alias("t"), (F.col("id") % 1001).alias("same"), F.lit(1).alias("one"))
+    got = {r["column"]: r["ami"] for r in quality.adjusted_mutual_info(df, ["same", "one"], "t").collect()}
+    assert abs(got["same"] - 1) < 1e-9 and abs(got["one"]) < 1e-9
 
 
 def test_binary_encode_first_appearance(spark):
