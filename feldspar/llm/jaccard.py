@@ -10,7 +10,8 @@ sizes of all sets and the mean length of the lists.
 
 Links of a list are found in two steps, so that a group of g near copies costs g comparisons, not g squared. First each
 class is compared with two pivots of its list and of its band of sizes. Then only pairs of different components that share a list and whose sizes
-permit a link are compared. All comparisons are exact, on both texts. What is linked is complete: components are those
+permit a link are compared. A pair is first held against signatures (parities of hashed elements), which rule out only
+what cannot reach the threshold; what is left is compared by both texts. These are exact. What is linked is complete: components are those
 of all pairs that reach the threshold. The number of frequent elements kept for the order is bounded, which costs time
 only, never links.
 
@@ -32,47 +33,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feldspar.llm.graph import components, identified
-from feldspar.plans.storage import materialize
+from feldspar.llm.words import mixed, word_hashes
+from feldspar.llm.storage import materialize
 
 WORDS, PERCENT = 5, 80
 #: Elements listed by more sets than this come last in the order, up to so many elements (8 bytes each).
-FREQUENT, FREQUENT_MOST = 40, 400_000
+FREQUENT, FREQUENT_MOST = 4, 400_000
 #: Sets of more elements are heavy whatever the costs say.
 LIGHT_MOST = 14
-#: Word hashes that a Python worker keeps.
-KEPT_WORDS = 200_000
-
-_words: dict[bytes, int] = {}
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+#: Bits of a set's signature.
+BITS = 1024
 
 
 def shingles(text: str | None) -> np.ndarray:
     """Sorted hashes of the distinct shingles of a whole text."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(words) < WORDS:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), 5)], np.uint64)
-    if len(_words) > KEPT_WORDS:
-        _words.clear()
-    try:
-        h = [_words[w] for w in words]
-    except KeyError:
-        for w in set(words).difference(_words):
-            _words[w] = xxhash.xxh3_64_intdigest(w)
-        h = [_words[w] for w in words]
-    h = np.array(h, np.uint64)
+    octets = (text or "").encode("utf-8", "surrogatepass")
+    h = word_hashes(octets)
+    if len(h) < WORDS:
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(octets.lower().split()), WORDS)], np.uint64) if len(h) else np.empty(0, np.uint64)
     n = len(h) - WORDS + 1
     total = h[:n] * _FACTORS[0]
     for i in range(1, WORDS):
-        total = total + h[i : i + n] * _FACTORS[i]
-    return np.unique(_mixed(total))
+        total += h[i : i + n] * _FACTORS[i]
+    return np.unique(mixed(total))
+
+
+def signature(elements: np.ndarray) -> np.ndarray:
+    """BITS bits, each the parity of the elements that fall on it: two signatures differ in no more bits than the sets in elements."""
+    odd = np.bincount((elements >> np.uint64(20)).astype(np.int64) % BITS, minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def set_name(elements: np.ndarray) -> int:
@@ -152,14 +142,17 @@ def _flush(columns: list[list[np.ndarray]], names: list[str]) -> pa.RecordBatch:
 
 
 def sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n, k): size and name of every row's set."""
+    """(id, n, k, bits): size, name and signature of every row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingles(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array([set_name(x) for x in found], pa.int64())], ["id", "n", "k"])
+            for some in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
+                found = [shingles(t) for t in some.column(1).to_pylist()]
+                bits = np.concatenate([signature(x) for x in found])
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * (BITS // 64), pa.int32()), pa.array(bits))
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array([set_name(x) for x in found], pa.int64()), bits], ["id", "n", "k", "bits"])
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "id bigint, n bigint, k bigint")
+    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "id bigint, n bigint, k bigint, bits array<bigint>")
 
 
 def _frequent(texts: DataFrame) -> tuple[np.ndarray, float]:
@@ -224,19 +217,34 @@ def _lists(texts: DataFrame, frequent: np.ndarray, boundary: int) -> DataFrame:
     return materialize(texts.mapInArrow(rows, "e bigint, k bigint, n int").join(more, "e").distinct())
 
 
+def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` that sizes and signatures do not rule out: what differs in more bits differs in more elements."""
+
+    def apart(x: pa.Array, y: pa.Array) -> pa.Array:
+        x, y = (c.flatten().to_numpy().view(np.uint64).reshape(-1, BITS // 64) for c in (x, y))
+        return pa.array(np.bitwise_count(x ^ y).sum(1).astype(np.int64))
+
+    left = classes.select(F.col("k").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
+    right = classes.select(F.col("k").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+    told = pairs.join(left, "a").join(right, "b").where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)")
+    both = F.expr(f"(n_a + n_b) - 2 * ceil({PERCENT} * (n_a + n_b) / {100 + PERCENT})")
+    return told.where(F.arrow_udf(apart, "bigint")("bits_a", "bits_b") <= both).select("a", "b")
+
+
 def _verified(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     """The (a, b) of ``pairs`` whose texts are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hits, last = [], (None, None)
-            for i, (a, x, y) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                if last[0] != a:
-                    last = (a, shingles(x))
-                if similar(last[1], shingles(y)):
-                    hits.append(i)
-            at = pa.array(hits, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], ["a", "b"])
+            for some in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                hits, last = [], (None, None)
+                for i, (a, x, y) in enumerate(zip(some.column(0).to_pylist(), some.column(2).to_pylist(), some.column(3).to_pylist())):
+                    if last[0] != a:
+                        last = (a, shingles(x))
+                    if similar(last[1], shingles(y)):
+                        hits.append(i)
+                at = pa.array(hits, pa.int64())
+                yield pa.RecordBatch.from_arrays([some.column(0).take(at), some.column(1).take(at)], ["a", "b"])
 
     left = bodies.select(F.col("k").alias("a"), F.col("text").alias("x"))
     right = bodies.select(F.col("k").alias("b"), F.col("text").alias("y"))
@@ -244,7 +252,7 @@ def _verified(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
 
 
 def set_links(docs: DataFrame, classes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Links (a, b: names of sets) that connect every component; ``classes`` has k, n and one id of each set."""
+    """Links (a, b: names of sets) that connect every component; ``classes`` has k, n, bits and one id of each set."""
     texts = docs.select(F.col(text).cast("string").alias("text")).where("text is not null")
     sizes = {r["n"]: r["m"] for r in classes.where(F.col("n") <= 2 * LIGHT_MOST).groupBy("n").agg(F.count(F.lit(1)).alias("m")).collect()}
     frequent, mean = _frequent(texts)
@@ -256,9 +264,7 @@ def set_links(docs: DataFrame, classes: DataFrame, key: str = "doc_id", text: st
     pivoted = lists.join(pivots, ["e", "band"])
     near = pivoted.select(F.explode(F.array(F.struct(F.col("p").alias("a"), F.col("k").alias("b")), F.struct(F.col("k").alias("a"), F.col("q").alias("b")))).alias("x")).select("x.*")
     near = materialize(near.where("a <> b").distinct())
-    wanted = lists.join(lists.groupBy("e").agg(F.min("k").alias("p"), F.max("k").alias("q")).where("p <> q").select("e"), "e").select("k").distinct().join(classes.select("k", "id"), "k")
-    bodies = _bodies(docs, wanted, key, text)
-    first = materialize(_verified(near, bodies))
+    first = _links(docs, near, classes, key, text)
     parts = components(first)
 
     # What a list still holds in different components is compared pair by pair, within the sizes that permit a link.
@@ -267,8 +273,14 @@ def set_links(docs: DataFrame, classes: DataFrame, key: str = "doc_id", text: st
     told = materialize(told.join(open_lists, "e"))
     other = told.select("e", F.col("k").alias("b"), F.col("n").alias("n_b"), F.col("g").alias("g_b"))
     rest = told.withColumnRenamed("k", "a").join(other, "e").where(f"a < b and g <> g_b and 100 * least(n, n_b) >= {PERCENT} * greatest(n, n_b)").select("a", "b").distinct()
-    rest = rest.join(near, ["a", "b"], "left_anti")
-    return first.union(materialize(_verified(rest, bodies)))
+    return first.union(_links(docs, rest.join(near, ["a", "b"], "left_anti"), classes, key, text))
+
+
+def _links(docs: DataFrame, pairs: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
+    """The (a, b) of ``pairs`` that are similar: first by signatures, then by the texts of what is left."""
+    pairs = materialize(_possible(pairs, classes))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct().join(classes.select("k", "id"), "k")
+    return materialize(_verified(pairs, _bodies(docs, wanted, key, text)))
 
 
 def _bodies(docs: DataFrame, wanted: DataFrame, key: str, text: str, most: int = 500_000) -> DataFrame:
@@ -292,7 +304,7 @@ def _bodies(docs: DataFrame, wanted: DataFrame, key: str, text: str, most: int =
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id, kept) for every row of ``docs``; kept: the row's id is its component's."""
     named = materialize(sets(docs, key, text))
-    classes = materialize(named.where("n > 0").groupBy("k").agg(F.min("id").alias("id"), F.max("n").alias("n")))
+    classes = materialize(named.where("n > 0").groupBy("k").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.min("bits").alias("bits")))
     parts = components(set_links(docs, classes, key, text))
     told = classes.join(parts.select(F.col("node").alias("k"), "component"), "k", "left").select("k", "id", F.coalesce("component", "k").alias("g"))
     low = told.groupBy("g").agg(F.min("id").alias("component_id"))
