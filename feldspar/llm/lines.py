@@ -1,7 +1,7 @@
 """Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity, one occurrence per group.
 
 A line is normalised by lower-casing and by writing every run of white space as one space; blank lines are left alone.
-Equal normalised lines are one class with a count. A class has a SimHash of 64 bits over its words. Two classes link
+Equal normalised lines are one class with a count. A class has a SimHash of 64 bits over its different words. Two classes link
 when their SimHashes differ in at most ``BITS`` bits and their edit similarity (1 - distance / longer length) is at
 least ``SIMILAR``. With BITS + 2 blocks, two such SimHashes agree in two whole blocks, so classes are joined on every
 pair of blocks, and the join itself tests the bits: only pairs near by SimHash leave it.
@@ -28,19 +28,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feldspar.llm.graph import components, identified
+from feldspar.llm.words import word_hashes
 from feldspar.plans.lookup import table_bytes
-from feldspar.plans.storage import materialize
+from feldspar.llm.storage import materialize
 
 BITS, SIMILAR = 3, 0.8
 #: Bits at which the blocks of a SimHash begin and end.
 EDGES = (0, 13, 26, 39, 52, 64)
-#: Word hashes that a Python worker keeps, and words that are counted at once.
-KEPT_WORDS, WORDS_AT_ONCE = 200_000, 40_000
+#: Words that are counted at once.
+WORDS_AT_ONCE = 40_000
 #: So many line hashes, and so many bytes of dropped line numbers, are broadcast; more are joined by a shuffle.
 SENT_MOST, SENT_BYTES = 500_000, 32 << 20
 
-_words: dict[str, bytes] = {}
-
 
 def normal(line: str) -> str:
     return " ".join(line.lower().split())
@@ -51,31 +50,24 @@ def line_hash(normalised: str) -> int:
 
 
 def simhashes(lines: list[str]) -> np.ndarray:
-    """Signed 64-bit SimHashes of normalised lines that are not empty: each word votes on every bit, ties are 1."""
-    if len(_words) > KEPT_WORDS:
-        _words.clear()
-    out, votes, starts, n = [], [], [], 0
-
-    def close() -> None:
-        bits = np.unpackbits(np.frombuffer(b"".join(votes), np.uint8).reshape(-1, 8), axis=1)
-        sums = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
-        sizes = np.diff([*starts, len(bits)])
-        out.append(np.packbits(2 * sums >= sizes[:, None], axis=1).view(">u8").ravel().astype(np.uint64))
-
-    for line in lines:
-        words = line.split(" ")
-        starts.append(n)
-        for w in words:
-            h = _words.get(w)
-            if h is None:
-                h = _words[w] = xxhash.xxh3_64_digest(w.encode("utf-8", "surrogatepass"), 3)
-            votes.append(h)
-        n += len(words)
-        if n > WORDS_AT_ONCE:
-            close()
-            votes, starts, n = [], [], 0
-    if starts:
-        close()
+    """Signed 64-bit SimHashes of normalised lines that are not empty: each different word votes on every bit, ties are 1."""
+    out, held, n = [], [], 0
+    for i, line in enumerate(lines):
+        held.append(line)
+        n += line.count(" ") + 1
+        if n > WORDS_AT_ONCE or i == len(lines) - 1:
+            sizes = np.array([x.count(" ") + 1 for x in held])
+            hashes = word_hashes("\n".join(held).encode("utf-8", "surrogatepass"))
+            line_of = np.repeat(np.arange(len(held)), sizes)
+            order = np.lexsort((hashes, line_of))
+            line_of, hashes = line_of[order], hashes[order]
+            new = np.concatenate([[True], (line_of[1:] != line_of[:-1]) | (hashes[1:] != hashes[:-1])])
+            line_of, hashes = line_of[new], hashes[new]
+            sizes = np.bincount(line_of, minlength=len(held))
+            bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+            votes = np.add.reduceat(bits, np.cumsum(sizes) - sizes, axis=0, dtype=np.int32)
+            out.append(np.packbits(2 * votes >= sizes[:, None], axis=1).view(">u8").ravel().astype(np.uint64))
+            held, n = [], 0
     return (np.concatenate(out) if out else np.empty(0, np.uint64)).view(np.int64)
 
 
@@ -118,13 +110,34 @@ def _keys(s: Column) -> Column:
 NEAR = f"bit_count(s ^ s_b) <= {BITS}"
 
 
+def differing(x: str, y: str) -> tuple[str, str]:
+    """Two strings without their common beginning and end, which leaves the edit distance as it is."""
+    if len(x) > len(y):
+        return differing(y, x)[::-1]
+    a, b = (np.frombuffer(z.encode("utf-32-le", "surrogatepass"), np.uint32) for z in (x, y))
+    n = len(a)
+    unlike = np.flatnonzero(a != b[:n])
+    i = int(unlike[0]) if len(unlike) else n
+    unlike = np.flatnonzero(a[i:][::-1] != b[::-1][: n - i])
+    j = int(unlike[0]) if len(unlike) else n - i
+    return x[i : n - j], y[i : len(y) - j]
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The (a, b) of ``pairs`` whose lines are similar."""
     left = texts.select(F.col("h").alias("a"), F.col("line").alias("x"))
     right = texts.select(F.col("h").alias("b"), F.col("line").alias("y"))
-    told = pairs.join(left, "a").join(right, "b")
-    most = F.floor(F.greatest(F.length("x"), F.length("y")) * (1 - SIMILAR) + 1e-9).cast("int")
-    return told.withColumn("most", most).where("levenshtein(x, y, most) >= 0").select("a", "b")
+
+    def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                lines = list(zip(some.column(2).to_pylist(), some.column(3).to_pylist()))
+                most = [int(max(len(x), len(y)) * (1 - SIMILAR) + 1e-9) for x, y in lines]
+                x, y = zip(*(differing(*z) for z in lines)) if lines else ((), ())
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(x, pa.string()), pa.array(y, pa.string()), pa.array(most, pa.int32())], ["a", "b", "x", "y", "most"])
+
+    told = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(strip, "a bigint, b bigint, x string, y string, most int")
+    return told.where("levenshtein(x, y, most) >= 0").select("a", "b")
 
 
 def _texts(rows: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -74,6 +74,14 @@ def test_against_brute_force(spark):
     assert lines.dedup(frame.limit(0)).count() == 0
 
 
+def test_differing():
+    rng = random.Random(8)
+    for _ in range(500):
+        x, y = ("".join(rng.choice("ab") for _ in range(rng.randrange(8))) for _ in range(2))
+        a, b = lines.differing(x, y)
+        assert distance(a, b) == distance(x, y) and not (a and b and (a[0] == b[0] or a[-1] == b[-1]))
+
+
 def test_repeated_and_null_ids(spark):
     rows = [(2, "a b c\nd"), (1, "d\ne"), (1, "d\ne"), (None, "a b c"), (None, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
