@@ -37,8 +37,10 @@ from feldspar.llm.words import mixed, word_hashes
 from feldspar.llm.storage import materialize
 
 WORDS, PERCENT = 5, 80
-#: Elements listed by more sets than this come last in the order, up to so many elements (8 bytes each).
-FREQUENT, FREQUENT_MOST = 4, 400_000
+#: Elements that this many texts of every SHARE-th text hold come last in the order, up to so many elements (8 bytes each).
+FREQUENT, SHARE, FREQUENT_MOST = 3, 16, 400_000
+#: Longer lists are compared in blocks of so many sets, within tasks.
+LONG_LIST, BLOCK_SETS = 48, 512
 #: Sets of more elements are heavy whatever the costs say.
 LIGHT_MOST = 14
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
@@ -156,13 +158,13 @@ def sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def _frequent(texts: DataFrame) -> tuple[np.ndarray, float]:
-    """The elements that most sets list, sorted, and the mean length of the other lists that hold more than one."""
+    """The elements that most sets hold, sorted, and the mean number of sets of the others; from a share of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some, n = [], 0
         for elements in _texts(batches):
-            some.append(elements[: len(elements) // 9 + 1])
-            n += len(some[-1])
+            some.append(elements)
+            n += len(elements)
             if n > 1_000_000:
                 yield counted(some)
                 some, n = [], 0
@@ -173,11 +175,12 @@ def _frequent(texts: DataFrame) -> tuple[np.ndarray, float]:
         e, n = np.unique(np.concatenate(some), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(e.view(np.int64)), pa.array(n.astype(np.int32))], ["e", "n"])
 
-    counts = texts.mapInArrow(run, "e bigint, n int").groupBy("e").agg(F.sum("n").alias("n")).where("n > 1")
-    counts = materialize(counts)
-    rows = counts.where(F.col("n") > FREQUENT).orderBy(F.desc("n"), "e").limit(FREQUENT_MOST).toPandas()["e"].to_numpy(np.int64)
-    mean = counts.where(F.col("n") <= FREQUENT).agg(F.avg("n")).first()[0] or 1.0
-    return np.sort(rows.view(np.uint64)), float(mean)
+    share = texts.where(F.pmod(F.xxhash64("text"), F.lit(SHARE)) == 0)
+    counts = share.mapInArrow(run, "e bigint, n int").groupBy("e").agg(F.sum("n").alias("n"))
+    mean = F.avg(F.when(F.col("n") < FREQUENT, F.col("n")))
+    counts = materialize(counts.where("n > 1"))
+    rows = counts.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "e").limit(FREQUENT_MOST).toPandas()["e"].to_numpy(np.int64)
+    return np.sort(rows.view(np.uint64)), float(counts.agg(mean).first()[0] or 1.0)
 
 
 def _lists(texts: DataFrame, frequent: np.ndarray, boundary: int) -> DataFrame:
@@ -269,13 +272,47 @@ def set_links(docs: DataFrame, classes: DataFrame, key: str = "doc_id", text: st
 
     # What a list still holds in different components is compared pair by pair, within the sizes that permit a link.
     told = lists.join(parts.withColumnRenamed("node", "k"), "k", "left").select("e", "k", "n", F.coalesce("component", "k").alias("g"))
-    open_lists = told.groupBy("e").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x <> y").select("e")
+    open_lists = told.groupBy("e").agg(F.min("g").alias("x"), F.max("g").alias("y"), F.count(F.lit(1)).alias("m")).where("x <> y").select("e", "m")
     told = materialize(told.join(open_lists, "e"))
-    other = told.select("e", F.col("k").alias("b"), F.col("n").alias("n_b"), F.col("g").alias("g_b"))
-    rest = told.withColumnRenamed("k", "a").join(other, "e").where(f"a < b and g <> g_b and 100 * least(n, n_b) >= {PERCENT} * greatest(n, n_b)").select("a", "b").distinct()
+    short = told.where(F.col("m") <= LONG_LIST)
+    other = short.select("e", F.col("k").alias("b"), F.col("n").alias("n_b"), F.col("g").alias("g_b"))
+    rest = short.withColumnRenamed("k", "a").join(other, "e").where(f"a < b and g <> g_b and 100 * least(n, n_b) >= {PERCENT} * greatest(n, n_b)").select("a", "b").distinct()
+    rest = rest.union(_in_blocks(told.where(F.col("m") > LONG_LIST), classes)).distinct()
     return first.union(_links(docs, rest.join(near, ["a", "b"], "left_anti"), classes, key, text))
 
 
+def _in_blocks(told: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b) of different components in long lists that sizes and signatures do not rule out.
+
+    Blocks of a list are compared within tasks; pairs that are ruled out are never rows.
+    """
+    rows = told.join(classes.select("k", "bits"), "k").withColumn("part", F.pmod(F.xxhash64("k"), F.ceil(F.col("m") / BLOCK_SETS)))
+    blocks = rows.groupBy("e", "part").agg(F.collect_list(F.struct("k", "n", "g", "bits")).alias("x"))
+    blocks = materialize(blocks.select("e", "part", F.col("x.k").alias("k"), F.col("x.n").alias("n"), F.col("x.g").alias("g"), F.flatten("x.bits").alias("bits")))
+    names = ["k", "n", "g", "bits"]
+    left = blocks.select("e", "part", *[F.col(c).alias(f"{c}_a") for c in names])
+    right = blocks.select("e", F.col("part").alias("part_b"), *[F.col(c).alias(f"{c}_b") for c in names])
+    pairs = left.join(right, "e").where("part <= part_b").select(*[f"{c}_{o}" for o in "ab" for c in names])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                k_a, n_a, g_a, x, k_b, n_b, g_b, y = (c[i].values.to_numpy().astype(np.int64) for c in batch.columns)
+                x, y = (z.view(np.uint64).reshape(-1, BITS // 64) for z in (x, y))
+                both = n_a[:, None] + n_b[None, :]
+                allowed = both - 2 * -(-PERCENT * both // (100 + PERCENT))
+                fits = 100 * np.minimum(n_a[:, None], n_b[None, :]) >= PERCENT * np.maximum(n_a[:, None], n_b[None, :])
+                apart = np.zeros(both.shape, np.int32)
+                for w in range(BITS // 64):
+                    apart += np.bitwise_count(x[:, None, w] ^ y[None, :, w])
+                p, q = np.nonzero(fits & (apart <= allowed) & (g_a[:, None] != g_b[None, :]))
+                a, b = np.minimum(k_a[p], k_b[q]), np.maximum(k_a[p], k_b[q])
+                found = np.unique(np.stack([a, b], 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+    return pairs.mapInArrow(compare, "a bigint, b bigint")
+
+
 def _links(docs: DataFrame, pairs: DataFrame, classes: DataFrame, key: str, text: str) -> DataFrame:
     """The (a, b) of ``pairs`` that are similar: first by signatures, then by the texts of what is left."""
     pairs = materialize(_possible(pairs, classes))

@@ -77,7 +77,10 @@ def test_against_brute_force(spark, monkeypatch, boundary):
     rows += [(1000 + i, " ".join(f"x{j}" if j != i else "y" for j in range(60))) for i in range(25)]
     if boundary is not None:
         monkeypatch.setattr(jaccard, "boundary_of", lambda sizes, mean: boundary)
-    monkeypatch.setattr(jaccard, "FREQUENT", 3)
+    monkeypatch.setattr(jaccard, "SHARE", 2)
+    if boundary == 0:
+        monkeypatch.setattr(jaccard, "LONG_LIST", 3)
+        monkeypatch.setattr(jaccard, "BLOCK_SETS", 4)
     frame = spark.createDataFrame([(i, t, 1, "c") for i, t in rows], "doc_id long, text string, n int, k string")
     want, got = brute(rows), of(jaccard.link(frame))
     assert [x for x in got if x[0] != 3] == [x for x in want if x[0] != 3]
