@@ -472,29 +472,32 @@ def ngram_classifier_score(
     df: DataFrame, text: str, params: Mapping[str, Mapping[str, float]], key: str, k: int = 5, buckets: int = 1 << 21
 ) -> tuple[DataFrame, list[str], list[str]]:
     """Per target: label ``<t>_ft`` and class-1 probability ``<t>_ft_prob``; out of fold for train, full fit for test."""
-    labels, probs = [], []
     kept = list(df.columns)
-    out = df
-    for t, p in params.items():
-        ready = ngram_vectors(out, text, int(p["word_ngrams"]), buckets).withColumn("__fold", hash_fold(q(key), k))
-        train, test = split(ready)
-        own = for_label(ngram_estimator(p, train.count()), t)
-        known = train.filter(q(t).isNotNull())
-        parts = [own.fit(known.filter(q("__fold") != f)).transform(train.filter(q("__fold") == f)) for f in range(k)]
-        parts.append(own.fit(known).transform(test))
-        scored = None
-        for part in parts:
-            one = part.select(
-                *[q(c) for c in kept],
-                F.col("prediction").cast("int").alias(f"{t}_ft"),
-                F.greatest(probability_of_one(), 1 - probability_of_one()).alias(f"{t}_ft_prob"),
-            )
-            scored = one if scored is None else scored.unionByName(one)
-        out = tf.normalize_label_prob(scored, f"{t}_ft", f"{t}_ft_prob")
-        kept += [f"{t}_ft", f"{t}_ft_prob"]
-        labels.append(f"{t}_ft")
-        probs.append(f"{t}_ft_prob")
-    return out, labels, probs
+    out = df.withColumn("__fold", hash_fold(q(key), k))
+    for size in sorted({int(p["word_ngrams"]) for p in params.values()}):
+        # Vectors are built once per size; every row is scored by all models of a target in one chain of projections.
+        out = materialize(ngram_vectors(out, text, size, buckets))
+        train = out.filter(q(TRAIN) == 1)
+        n_train = train.count()
+        for t, p in params.items():
+            if int(p["word_ngrams"]) != size:
+                continue
+            own = for_label(ngram_estimator(p, n_train), t)
+            known = train.filter(q(t).isNotNull())
+            models = [own.fit(known.filter(q("__fold") != f)) for f in range(k)] + [own.fit(known)]
+            before = list(out.columns)
+            for i, model in enumerate(models):
+                model.setPredictionCol(f"__label{i}").setProbabilityCol(f"__prob{i}").setRawPredictionCol(f"__raw{i}")
+                out = model.transform(out)
+            model_of = F.when(q(TRAIN) == 1, q("__fold")).otherwise(F.lit(k))
+            one = [probability_of_one(f"__prob{i}") for i in range(k + 1)]
+            label = F.coalesce(*[F.when(model_of == i, F.col(f"__label{i}")) for i in range(k + 1)]).cast("int")
+            prob = F.coalesce(*[F.when(model_of == i, F.greatest(x, 1 - x)) for i, x in enumerate(one)])
+            out = out.select(*[q(c) for c in before], label.alias(f"{t}_ft"), prob.alias(f"{t}_ft_prob"))
+            out = tf.normalize_label_prob(out, f"{t}_ft", f"{t}_ft_prob")
+        out = out.drop(FEATURES)
+    labels, probs = [f"{t}_ft" for t in params], [f"{t}_ft_prob" for t in params]
+    return out.select(*[q(c) for c in kept + [c for t in params for c in (f"{t}_ft", f"{t}_ft_prob")]]), labels, probs
 
 
 # The searched n-gram classifier settings.

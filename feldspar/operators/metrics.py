@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feldspar.operators.profile import q
-from feldspar.plans.ordering import POSITION, with_position
+from feldspar.plans.ordering import running_counts
 
 
 def _d(name: str) -> Column:
@@ -79,14 +79,12 @@ def classification_report(df: DataFrame, y: str, p: str) -> DataFrame:
 
 
 def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
-    """One row (auc): the rank formula, ties count one half. Rows of equal scores are spread, never gathered."""
+    """One row (auc): the rank formula, ties count one half. Rows are counted per score first; only distinct scores are sorted."""
     rows = df.select((q(y) == 1).cast("long").alias("y"), _d(score).alias("s")).filter("s is not null and y is not null")
-    placed = with_position(rows, [F.col("s")], ties=True)
-    per_score = placed.groupBy("s").agg(
-        F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n"), (F.min(POSITION) + F.max(POSITION)).alias("ends")
-    )
+    per_score = rows.groupBy("s").agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n"))
+    per_score = running_counts(per_score, [F.col("s")], {"upto": F.col("n")})
     total = per_score.agg(
-        F.sum(F.col("pos") * (F.col("ends") / F.lit(2.0) + 1)).alias("ranks"),
+        F.sum(F.col("pos") * (F.col("upto") - (F.col("n") - 1) / F.lit(2.0))).alias("ranks"),
         F.sum("pos").cast("double").alias("n1"),
         (F.sum("n") - F.sum("pos")).cast("double").alias("n0"),
     )

@@ -66,7 +66,7 @@ def running_counts(
 ) -> DataFrame:
     """For each name: the number of rows up to and including this one for which the condition holds.
 
-    One layout serves all conditions: a running count inside each partition plus the partition's start.
+    A condition may also be a whole number per row, which is summed. One layout serves all conditions: a running count inside each partition plus the partition's start.
     """
     flags = {f"__f{i}": c.cast("long") for i, c in enumerate(conditions.values())}
     laid = lay_out(df.withColumns(flags), order)

@@ -361,3 +361,15 @@ def test_shuffled_target_keeps_values(spark, separable):
     out = learn.shuffled_target(separable.select("id", "x1", "y"), "y", "id", 3)
     assert out.count() == 300 and out.agg(F.sum("y")).first()[0] == separable.agg(F.sum("y")).first()[0]
     assert out.orderBy("id").select("y").collect() != separable.orderBy("id").select("y").collect()
+
+
+def test_classifier_scores_scan_once_per_size(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(rng.choice(["good", "bad", "dull", "fine"], 6)), i % 2, int(i % 3 == 0), int(i % 5 > 0)) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, text string, a int, b int, is_train int")
+    params = {t: {"epoch": 3, "lr": 0.5, "word_ngrams": 1} for t in ("a", "b")}
+    out, labels, probs = learn.ngram_classifier_score(df, "text", params, "id", k=3, buckets=64)
+    assert out.count() == 120 and out.columns == [*df.columns, "a_ft", "a_ft_prob", "b_ft", "b_ft_prob"]
+    assert out.filter("a_ft_prob is null or a_ft_prob < 0 or a_ft_prob > 1 or b_ft is null").count() == 0
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RDD") + plan.count("Relation") <= 2  # the written vectors, not one scan per model
