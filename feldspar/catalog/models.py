@@ -126,14 +126,14 @@ def _(spark, d):
 @query("grid_search_gbm")
 def _(spark, d):
     stages = [{"maxIter": (2, 4)}, {"maxDepth": (2, 3)}]
-    return ln.staged_search(_numbers(spark, d), NUMBERS, "toxic", ln.gradient_boosting(trees=3, depth=2), stages, "doc_id", k=2)[0]
+    return ln.staged_search(_numbers(spark, d), NUMBERS, "toxic", ln.gradient_boosting(trees=3, depth=2), "doc_id", stages, k=2)[0]
 
 
 @query("grid_search_boosted_classif")
 def _(spark, d):
     stages = [{"minInfoGain": (0.0, 0.2)}, {"subsamplingRate": (0.8, 0.9)}]
     model = GBTClassifier(maxIter=2, maxDepth=3, seed=27)
-    return ln.staged_search(_numbers(spark, d), NUMBERS, "quality", model, stages, "doc_id", k=2)[0]
+    return ln.staged_search(_numbers(spark, d), NUMBERS, "quality", model, "doc_id", stages, k=2)[0]
 
 
 @query("grid_search_boosted_regress")

@@ -196,7 +196,7 @@ def _(spark, d):
     from pyspark.ml.functions import vector_to_array
 
     docs = table(spark, d, "documents").select("doc_id", F.split(F.lower("text"), " ").alias("tokens"))
-    model = CountVectorizer(inputCol="tokens", outputCol="counts", minDF=0.05).fit(docs)
+    model = CountVectorizer(inputCol="tokens", outputCol="counts", minDF=0.05, vocabSize=1 << 30).fit(docs)
     counted = model.transform(docs).select("doc_id", vector_to_array("counts").alias("c"))
     return counted.select(
         "doc_id",

@@ -31,10 +31,6 @@ def is_infinite(x: Column) -> Column:
     return F.coalesce(F.abs(x.cast("double")) == F.lit(INF), F.lit(False))
 
 
-def nan_to_null(x: Column) -> Column:
-    return F.when(~F.isnan(x), x)
-
-
 def inverse_or_zero(x: Column) -> Column:
     """1/x, and 0 where x is 0."""
     return F.when(x == 0, F.lit(0.0)).otherwise(F.lit(1.0) / F.nullif(x.cast("double"), F.lit(0.0)))

@@ -217,15 +217,6 @@ def group_density(df: DataFrame, group: str, column: str, bins: int = 100) -> Da
     return out.withColumn("density", F.col("n") / F.col("group_n") / F.lit(width))
 
 
-def pair_scatter(df: DataFrame, target: str, x: str, y: str, bins: int = 50) -> DataFrame:
-    """2-D binned counts per class."""
-    (xl, xh), (yl, yh) = _limits(df, [x, y])
-    present = df.filter(q(x).isNotNull() & q(y).isNotNull())
-    return present.groupBy(target, _bin(q(x), xl, xh, bins).alias("bx"), _bin(q(y), yl, yh, bins).alias("by")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-
-
 def pair_scatter_grid(df: DataFrame, target: str, columns: Sequence[str], bins: int = 50) -> DataFrame:
     """2-D binned counts per class for every column pair: rows are expanded over the pairs, then counted once."""
     limits = dict(zip(columns, _limits(df, columns)))

@@ -131,12 +131,6 @@ def sparse_vector(size: Column, indices: Column, values: Column) -> Column:
     return F.from_json(F.to_json(F.struct(body.alias("v"))), schema)["v"]
 
 
-def term_vectors(stacked: DataFrame, key: str, size: int, name: str = "features") -> DataFrame:
-    """(key, vector) from long (key, index, weight); a document's terms are bounded by the columns."""
-    per_doc = stacked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("index", "weight"))).alias("cells"))
-    return per_doc.select(key, sparse_vector(F.lit(size), F.col("cells.index").cast("array<int>"), F.col("cells.weight")).alias(name))
-
-
 def term_chi2(long: DataFrame, labels: DataFrame, key: str, targets: Sequence[str]) -> DataFrame:
     """Long (target, term, df, chi2) of term presence: observed against class share times document frequency."""
     present = long.filter((q(TRAIN) == 1) & (F.col("weight") > 0)).select(key, "term")

@@ -19,6 +19,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", app: str = "feldsp
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # Generated methods above 8000 bytes are not compiled by HotSpot; such stages run better without fusion.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
