@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feldspar.llm.storage import small_batches
 from feldspar.llm.vocab import Vocab, default_path, vocab
 from feldspar.plans.spread import spread
 
@@ -142,6 +143,7 @@ ROWS_AT_ONCE = 512
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, leaf: int = LEAF_CHARS, spread_chars: int = SPREAD_CHARS) -> DataFrame:
     """(key, ids array<int>) for every row."""
     path = path or default_path()
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     kind_of_key = rows.schema["key"].dataType.simpleString()
     specials = list(vocab(path).special)

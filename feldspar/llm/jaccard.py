@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from feldspar.llm.graph import components, identified
 from feldspar.llm.words import mixed, word_hashes
-from feldspar.llm.storage import materialize
+from feldspar.llm.storage import materialize, small_batches
 
 WORDS, PERCENT = 5, 80
 #: Elements that this many texts of every SHARE-th text hold come last in the order, up to so many elements (8 bytes each).
@@ -340,6 +340,7 @@ def _bodies(docs: DataFrame, wanted: DataFrame, key: str, text: str, most: int =
 
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id, kept) for every row of ``docs``; kept: the row's id is its component's."""
+    small_batches(docs.sparkSession)
     named = materialize(sets(docs, key, text))
     classes = materialize(named.where("n > 0").groupBy("k").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.min("bits").alias("bits")))
     parts = components(set_links(docs, classes, key, text))

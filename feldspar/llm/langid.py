@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feldspar.llm.storage import materialize
+from feldspar.llm.storage import materialize, small_batches
 
 UNKNOWN = "und"
 BUCKETS = 1 << 14
@@ -160,6 +160,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """Add lang_pred, score, second, ambiguous to every row of ``docs``."""
+    small_batches(docs.sparkSession)
     shape = "struct<lang_pred:string,score:double,second:string,ambiguous:boolean>"
 
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:

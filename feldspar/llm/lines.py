@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from feldspar.llm.graph import components, identified
 from feldspar.llm.words import word_hashes
 from feldspar.plans.lookup import table_bytes
-from feldspar.llm.storage import materialize
+from feldspar.llm.storage import materialize, small_batches
 
 BITS, SIMILAR = 3, 0.8
 #: Bits at which the blocks of a SimHash begin and end.
@@ -174,6 +174,7 @@ def line_links(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of ``docs`` with the text reduced to its kept lines, and n_lines, n_dropped (lines that are not blank)."""
+    small_batches(docs.sparkSession)
     plain = docs.drop("n_lines", "n_dropped")
     held = identified(plain, key).select("doc", "uid", F.col(f"doc.`{text}`").cast("string").alias("text"))
     seen = materialize(_occurrences(held))

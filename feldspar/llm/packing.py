@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from feldspar.llm.bpe import encode_text
 from feldspar.llm.graph import numbered
 from feldspar.llm.vocab import default_path, vocab
-from feldspar.llm.storage import materialize
+from feldspar.llm.storage import materialize, small_batches
 
 CAPACITY = 2048
 END = 1
@@ -49,6 +49,7 @@ def cut(tokens: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[tup
 def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """(key, start, length, ids_crc32, doc_tokens, class): the cut pieces of every row, before packing."""
     path = path or default_path()
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,12 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from feldspar.plans.storage import ensure_checkpoint_dir
 
+#: Rows of an Arrow batch. The default of 10,000 whole texts takes each Python worker, and the JVM beside it, hundreds of MB.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session hands Python at most BATCH_ROWS rows at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` beside the checkpoints and read it back: later plans neither recompute it nor need its executors.
 
     Parquet columns take a fraction of what checkpointed rows take, and a table that is no longer needed can be removed.
     """
+    small_batches(df.sparkSession)
     folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4()}"
     df.write.parquet(folder)
     out = df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -30,7 +30,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feldspar.llm.storage import materialize
+from feldspar.llm.storage import materialize, small_batches
 
 ROWS_PER_CLASS = 6000
 #: Places within which the characters of a triple lie, and the weight per place skipped.
@@ -304,6 +304,7 @@ def _squash(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Add score and predicted to every row of ``docs``."""
+    small_batches(docs.sparkSession)
 
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for c in texts:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feldspar.llm.storage import materialize
+from feldspar.llm.storage import materialize, small_batches
 from feldspar.plans.storage import ensure_checkpoint_dir
 
 REVISIT_BYTES = 100
@@ -150,6 +150,7 @@ def page_of(name: str) -> int | None:
 def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", html: str = "html") -> None:
     """Write all pages as WARC files into ``folder``."""
     rows = pages.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html"))
+    small_batches(pages.sparkSession)
     rows = rows.withColumn("digest", F.sha2("html", 256))
     small = rows.select("id", "digest", F.octet_length("html").alias("size"))
     first = small.where(F.col("size") >= REVISIT_BYTES).groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null")

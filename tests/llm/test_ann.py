@@ -1,7 +1,6 @@
 """Multiprobe hashing against brute force: recall, exact scores, odd vectors."""
 
 import numpy as np
-import pytest
 
 from feldspar.llm.ann import nearest
 from feldspar.llm.queries import QUERIES

@@ -3,9 +3,7 @@
 import hashlib
 import random
 
-import numpy as np
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from feldspar.llm import bpe
