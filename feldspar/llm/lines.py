@@ -24,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feldspar.llm.graph import components, identified
@@ -158,8 +158,9 @@ def _texts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
 def line_links(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Links (a, b: line hashes) that connect every group; ``classes`` has h, s and the count n."""
     lists = classes.select(F.explode(_keys(F.col("s"))).alias("e"), "h", "s", F.least("n", F.lit(1 << 30)).cast("int").alias("n"))
-    many = lists.groupBy("e").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("e")
-    lists = materialize(lists.join(many, "e"))
+    # One shuffle by key: the lists' lengths come from a window over it, which spills where a list is long.
+    length = F.count(F.lit(1)).over(Window.partitionBy("e"))
+    lists = materialize(lists.withColumn("m", length).where("m > 1").drop("m"))
     top = lists.groupBy("e").agg(F.max(F.struct("n", "h", "s")).alias("t")).select("e", F.col("t.h").alias("b"), F.col("t.s").alias("s_b"))
     near = materialize(lists.join(top, "e").where(f"h <> b AND {NEAR}").select(F.col("h").alias("a"), "b").distinct())
     first = materialize(_verified(near, _texts(rows, near)))
