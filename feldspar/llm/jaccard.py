@@ -40,7 +40,7 @@ WORDS, PERCENT = 5, 80
 #: Elements that this many texts of every SHARE-th text hold come last in the order, up to so many elements (8 bytes each).
 FREQUENT, SHARE, FREQUENT_MOST = 3, 16, 400_000
 #: Longer lists are compared in blocks of so many sets, within tasks.
-LONG_LIST, BLOCK_SETS = 48, 512
+LONG_LIST, BLOCK_SETS = 48, 128
 #: Sets of more elements are heavy whatever the costs say.
 LIGHT_MOST = 14
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
