@@ -1,10 +1,15 @@
-"""Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity, one occurrence per group.
+"""Fuzzy line dedup: SimHash of normalised lines, blocks of shared n-grams, edit similarity, one occurrence per group.
 
 A line is normalised by lower-casing and by writing every run of white space as one space; blank lines are left alone.
-Equal normalised lines are one class with a count. A class has a SimHash of 64 bits over its different words. Two classes link
-when their SimHashes differ in at most ``BITS`` bits and their edit similarity (1 - distance / longer length) is at
-least ``SIMILAR``. With BITS + 2 blocks, two such SimHashes agree in two whole blocks, so classes are joined on every
-pair of blocks, and the join itself tests the bits: only pairs near by SimHash leave it.
+Equal normalised lines are one class with a count. A class has a SimHash of 64 bits over its 4-grams of characters, each
+as often as it occurs; below VOTE_CHARS characters its pairs of characters vote more and more. Two classes link when their
+SimHashes differ in at most ``BITS`` bits and their edit similarity (1 - distance / longer length) is at least ``SIMILAR``.
+
+So many bits leave no block of a SimHash that similar lines must share, so candidates come from n-grams: lines are joined
+that share a key and pass the bits and the lengths. Where the longer line is below 40 characters every n-gram is a key
+and the links are complete: 0.8 of similarity leaves at least one in common. Longer lines have one key in each of BINS bins,
+the smallest hash of the bin's n-grams (longer ones in longer lines), which must also lie in places that the distance
+allows. Links are then found with the recall that the README gives, lowest close to 0.8.
 
 As for a class of copies, a group of many variants costs little: the classes of a list are first compared with the
 commonest class in it; then only pairs in different components are compared with each other. Of every connected group
@@ -19,24 +24,29 @@ by its counts.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feldspar.llm.graph import components, identified
-from feldspar.llm.words import word_hashes
+from feldspar.llm.words import mixed
 from feldspar.plans.lookup import table_bytes
 from feldspar.llm.storage import materialize, small_batches
 
-BITS, SIMILAR = 3, 0.8
-#: Bits at which the blocks of a SimHash begin and end.
-EDGES = (0, 13, 26, 39, 52, 64)
-#: Words that are counted at once.
-WORDS_AT_ONCE = 40_000
+BITS, SIMILAR = 25, 0.8
+#: Lines from this length on vote by 4-grams only.
+VOTE_CHARS = 64
+#: Characters that are hashed at once.
+CHARS_AT_ONCE = 40_000
+#: Least length of the longer line, characters of its n-grams, whether every n-gram is a key.
+GRAMS = ((0, 2, True), (8, 3, True), (20, 4, True), (40, 10, False), (100, 12, False), (200, 14, False))
+#: Keys that a line has at most where not every n-gram is one.
+BINS = 32
+#: Lines that a task remembers, so that copies of them get no keys again.
+KNOWN_LINES = 100_000
 #: So many line hashes, and so many bytes of dropped line numbers, are broadcast; more are joined by a shuffle.
 SENT_MOST, SENT_BYTES = 500_000, 32 << 20
 
@@ -49,33 +59,90 @@ def line_hash(normalised: str) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(normalised.encode("utf-8", "surrogatepass")))))
 
 
-def simhashes(lines: list[str]) -> np.ndarray:
-    """Signed 64-bit SimHashes of normalised lines that are not empty: each different word votes on every bit, ties are 1."""
-    out, held, n = [], [], 0
+def _together(lines: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """Lines in runs of about CHARS_AT_ONCE characters, each with the number of its first line."""
+    at, n = 0, 0
     for i, line in enumerate(lines):
-        held.append(line)
-        n += line.count(" ") + 1
-        if n > WORDS_AT_ONCE or i == len(lines) - 1:
-            sizes = np.array([x.count(" ") + 1 for x in held])
-            hashes = word_hashes("\n".join(held).encode("utf-8", "surrogatepass"))
-            line_of = np.repeat(np.arange(len(held)), sizes)
-            order = np.lexsort((hashes, line_of))
-            line_of, hashes = line_of[order], hashes[order]
-            new = np.concatenate([[True], (line_of[1:] != line_of[:-1]) | (hashes[1:] != hashes[:-1])])
-            line_of, hashes = line_of[new], hashes[new]
-            sizes = np.bincount(line_of, minlength=len(held))
-            bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-            votes = np.add.reduceat(bits, np.cumsum(sizes) - sizes, axis=0, dtype=np.int32)
-            out.append(np.packbits(2 * votes >= sizes[:, None], axis=1).view(">u8").ravel().astype(np.uint64))
-            held, n = [], 0
+        n += len(line)
+        if n > CHARS_AT_ONCE or i == len(lines) - 1:
+            yield at, lines[at : i + 1]
+            at, n = i + 1, 0
+
+
+def _grams(codes: np.ndarray, q: int) -> np.ndarray:
+    """A hash of the q characters from each place on."""
+    out = np.zeros(max(0, len(codes) - q + 1), np.uint64)
+    for j in range(q):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + codes[j : len(codes) - q + 1 + j] + np.uint64(1)
+    return mixed(out)
+
+
+def _within(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places starts[i] ... starts[i] + sizes[i] - 1 of all i."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _votes(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    return 2 * np.add.reduceat(bits, np.cumsum(sizes) - sizes, axis=0, dtype=np.int64) - sizes[:, None]
+
+
+def simhashes(lines: list[str]) -> np.ndarray:
+    """Signed 64-bit SimHashes of normalised lines that are not empty: each n-gram votes on every bit, ties are 1."""
+    out = []
+    for _, held in _together(lines):
+        codes = np.frombuffer(("\n\n" + "\n\n".join(held) + "\n\n").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        lengths = np.array([len(x) for x in held])
+        starts = np.cumsum(lengths + 2) - lengths - 2
+        weight = np.minimum(lengths, VOTE_CHARS)
+        votes = weight[:, None] * _votes(_grams(codes, 4)[_within(starts, lengths + 1)], lengths + 1)
+        short = np.flatnonzero(lengths < VOTE_CHARS)
+        if len(short):
+            pairs = _votes(_grams(codes, 2)[_within(starts[short] + 1, lengths[short] + 1)], lengths[short] + 1)
+            votes[short] += (VOTE_CHARS - weight[short])[:, None] * pairs
+        out.append(np.packbits(votes >= 0, axis=1).view(">u8").ravel().astype(np.uint64))
     return (np.concatenate(out) if out else np.empty(0, np.uint64)).view(np.int64)
 
 
+def gram_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the line, key, place) of the keys of all lines.
+
+    A pair has the n-grams of its longer line's length; a line has the keys of every length that its partner may have.
+    """
+    of, keys, places = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for at, held in _together(lines):
+        codes = np.frombuffer("\n".join(held).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        lengths = np.array([len(x) for x in held])
+        starts = np.cumsum(lengths + 1) - lengths - 1
+        for k, (least, q, every) in enumerate(GRAMS):
+            below = GRAMS[k + 1][0] if k + 1 < len(GRAMS) else np.inf
+            some = np.flatnonzero((lengths < below) & (lengths / SIMILAR + 1e-9 >= least) & (lengths >= q))
+            if not len(some):
+                continue
+            sizes = lengths[some] - q + 1
+            line, place = np.repeat(some, sizes), _within(np.zeros(len(some), np.int64), sizes)
+            h = _grams(codes, q)[np.repeat(starts[some], sizes) + place]
+            if every:
+                order = np.lexsort((h, line))
+                new = np.concatenate([[True], (line[order][1:] != line[order][:-1]) | (h[order][1:] != h[order][:-1])])
+                chosen = order[new]
+            else:
+                cell = line * BINS + (h % np.uint64(BINS)).astype(np.int64)
+                least_of = np.full(len(held) * BINS, 2**64 - 1, np.uint64)
+                np.minimum.at(least_of, cell, h)
+                smallest = np.flatnonzero(h == least_of[cell])
+                chosen = smallest[np.unique(cell[smallest], return_index=True)[1]]
+            of.append(line[chosen] + at)
+            keys.append(mixed(h[chosen] + np.uint64(k + 1)).view(np.int64))
+            places.append(place[chosen])
+    return np.concatenate(of), np.concatenate(keys), np.concatenate(places)
+
+
 def _occurrences(rows: DataFrame) -> DataFrame:
-    """(uid, pos, h, s) of every line that is not blank."""
+    """(uid, pos, h) of every line that is not blank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["uid", "pos", "h", "s"]
+        names = ["uid", "pos", "h"]
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -88,26 +155,33 @@ def _occurrences(rows: DataFrame) -> DataFrame:
                             pos.append(i)
                             text.append(line)
                 if text:
-                    different = list(dict.fromkeys(text))
-                    told = dict(zip(different, zip((line_hash(x) for x in different), simhashes(different).tolist())))
-                    h, s = zip(*(told[x] for x in text))
-                    yield pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), pa.array(pos, pa.int32()), pa.array(h, pa.int64()), pa.array(s, pa.int64())], names)
+                    yield pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), pa.array(pos, pa.int32()), pa.array([line_hash(x) for x in text], pa.int64())], names)
 
-    return rows.select("uid", "text").mapInArrow(run, "uid bigint, pos int, h bigint, s bigint")
+    return rows.select("uid", "text").mapInArrow(run, "uid bigint, pos int, h bigint")
 
 
-def _block(s: Column, i: int) -> Column:
-    width = EDGES[i + 1] - EDGES[i]
-    return F.shiftrightunsigned(s, EDGES[i]).bitwiseAND(F.lit((1 << width) - 1))
+def _keyed(rows: DataFrame) -> DataFrame:
+    """(e, h, s, l, p): key, line hash, SimHash, length and place in the line, of the lines of all rows; copies may repeat."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[int] = set()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                lines = {line_hash(y): y for t in batch.column(0).slice(at, 64).to_pylist() for x in (t or "").split("\n") if (y := normal(x))}
+                lines = {h: y for h, y in lines.items() if h not in known}
+                if len(known) > KNOWN_LINES:
+                    known.clear()
+                known.update(lines)
+                texts = list(lines.values())
+                of, keys, places = gram_keys(texts)
+                h, s, n = np.array(list(lines), np.int64), simhashes(texts), np.array([len(x) for x in texts], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(h[of]), pa.array(s[of]), pa.array(n[of].astype(np.int32)), pa.array(places.astype(np.int32))], ["e", "h", "s", "l", "p"])
 
-def _keys(s: Column) -> Column:
-    """The pairs of blocks of a SimHash, each as one number."""
-    pairs = combinations(range(len(EDGES) - 1), len(EDGES) - 1 - BITS)
-    return F.array(*[F.lit(k << 27) + F.shiftleft(_block(s, i), 13) + _block(s, j) for k, (i, j) in enumerate(pairs)])
+    return rows.select("text").mapInArrow(run, "e bigint, h bigint, s bigint, l int, p int")
 
 
-NEAR = f"bit_count(s ^ s_b) <= {BITS}"
+#: Whether lines that share a key may be similar: by their SimHashes, and by the characters before and after the n-gram.
+NEAR = f"bit_count(s ^ s_b) <= {BITS} AND (CASE WHEN greatest(l, l_b) < 40 THEN abs(l - l_b) ELSE abs(p - p_b) + abs(l - p - l_b + p_b) END) <= floor(greatest(l, l_b) * {1 - SIMILAR:.6f} + 1e-6)"
 
 
 def differing(x: str, y: str) -> tuple[str, str]:
@@ -156,17 +230,19 @@ def _texts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def line_links(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links (a, b: line hashes) that connect every group; ``classes`` has h, s and the count n."""
-    lists = classes.select(F.explode(_keys(F.col("s"))).alias("e"), "h", "s", F.least("n", F.lit(1 << 30)).cast("int").alias("n"))
-    # One shuffle by key: the lists' lengths come from a window over it, which spills where a list is long.
-    length = F.count(F.lit(1)).over(Window.partitionBy("e"))
-    lists = materialize(lists.withColumn("m", length).where("m > 1").drop("m"))
-    top = lists.groupBy("e").agg(F.max(F.struct("n", "h", "s")).alias("t")).select("e", F.col("t.h").alias("b"), F.col("t.s").alias("s_b"))
+    """Links (a, b: line hashes) that connect every group; ``classes`` has h and the count n."""
+    # One shuffle by key: copies go and the lists' lengths come from a window over it, which spills where a list is long.
+    lists = _keyed(rows).repartition("e").dropDuplicates(["e", "h"])
+    lists = lists.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("e"))).where("m > 1").drop("m")
+    often = classes.where("n > 1").select("h", F.least("n", F.lit(1 << 30)).cast("int").alias("n"))
+    lists = materialize(lists.join(often, "h", "left").withColumn("n", F.coalesce("n", F.lit(1))))
+    top = lists.groupBy("e").agg(F.max(F.struct("n", "h", "s", "l", "p")).alias("t"))
+    top = top.select("e", *[F.col(f"t.{x}").alias(y) for x, y in (("h", "b"), ("s", "s_b"), ("l", "l_b"), ("p", "p_b"))])
     near = materialize(lists.join(top, "e").where(f"h <> b AND {NEAR}").select(F.col("h").alias("a"), "b").distinct())
     first = materialize(_verified(near, _texts(rows, near)))
 
-    told = lists.join(components(first).withColumnRenamed("node", "h"), "h", "left").select("e", "h", "s", F.coalesce("component", "h").alias("g"))
-    other = told.select("e", F.col("h").alias("b"), F.col("s").alias("s_b"), F.col("g").alias("g_b"))
+    told = lists.join(components(first).withColumnRenamed("node", "h"), "h", "left").select("e", "h", "s", "l", "p", F.coalesce("component", "h").alias("g"))
+    other = told.select("e", F.col("h").alias("b"), *[F.col(x).alias(f"{x}_b") for x in ("s", "l", "p", "g")])
     rest = told.withColumnRenamed("h", "a").join(other, "e").where(f"a < b AND g <> g_b AND {NEAR}").select("a", "b").distinct()
     tried = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = materialize(rest.join(tried, ["a", "b"], "left_anti"))
@@ -179,7 +255,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     plain = docs.drop("n_lines", "n_dropped")
     held = identified(plain, key).select("doc", "uid", F.col(f"doc.`{text}`").cast("string").alias("text"))
     seen = materialize(_occurrences(held))
-    classes = materialize(seen.groupBy("h").agg(F.min("s").alias("s"), F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "pos")).alias("first")))
+    classes = materialize(seen.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "pos")).alias("first")))
     parts = components(line_links(held, classes)).withColumnRenamed("node", "h")
     told = classes.join(parts, "h", "left").select("h", "n", "first", F.coalesce("component", "h").alias("g"))
     groups = told.groupBy("g").agg(F.sum("n").alias("total"), F.min("first").alias("kept")).where("total > 1")
