@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_warc_segments": """WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+f AS (SELECT payload, min(page_id) AS first_id FROM p WHERE octet_length(payload) >= 100 GROUP BY payload)
+SELECT p.page_id, octet_length(p.payload) AS payload_bytes, sha256(p.payload) AS payload_digest,
+  CASE WHEN f.first_id IS NULL OR f.first_id = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  nullif(f.first_id, p.page_id) AS refers_to
+FROM p LEFT JOIN f ON f.payload = p.payload""",
+}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
