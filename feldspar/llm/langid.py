@@ -192,7 +192,14 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
 
 
 def keep_known(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs`` whose language can be told at all: texts that are null or without a letter go."""
+    """The rows of ``docs`` whose language can be told at all: texts that are null or without a letter go, also where no language could be learnt."""
     model = fit(docs, key, text, lang)
+    if model is None:
+        small_batches(docs.sparkSession)
+
+        def lettered(texts: pa.Array) -> pa.Array:
+            return pa.array([ngram_counts(t) is not None for t in texts.to_pylist()], pa.bool_())
+
+        return docs.where(F.arrow_udf(lettered, "boolean")(F.col(text).cast("string")))
     said = predict(docs.select(F.struct("*").alias("__row"), F.col(text).alias("__text")), model, "__text")
     return said.where(F.col("lang_pred") != UNKNOWN).select("__row.*")
