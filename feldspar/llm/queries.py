@@ -3,10 +3,40 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import permutations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_STEPS = ", ".join(
+    f"('{''.join(order)}', {k + 1}, {sum(1 << 'ABCDE'.index(f) for f in order[:k])}, {1 << 'ABCDE'.index(name)})"
+    for order in permutations("ABCDE")
+    for k, name in enumerate(order)
+)
+_AUDIT = f"""WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+e AS (SELECT text, min(doc_id) AS first_id FROM d GROUP BY text),
+m AS (SELECT d.part,
+    (CASE WHEN len(words) < 50 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 5 * length(d.text) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(d.text, '[#$%&*|]') THEN 8 ELSE 0 END) + (CASE WHEN d.doc_id > e.first_id THEN 16 ELSE 0 END) AS mask,
+    CASE WHEN d.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) THEN 1 ELSE 0 END AS good,
+    CASE WHEN d.doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) THEN 1 ELSE 0 END AS bad
+  FROM d JOIN e ON e.text = d.text),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM m GROUP BY part, mask),
+o(filter_order, step, prefix, bit) AS (VALUES {_STEPS}),
+r AS (SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (prefix | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & prefix = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & prefix <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & prefix = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & prefix = 0 AND mask & bit <> 0 THEN bad ELSE 0 END) AS toxic_lost
+  FROM c, o GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM r"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
     "op8_warc_segments": """WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
@@ -15,6 +45,7 @@ SELECT p.page_id, octet_length(p.payload) AS payload_bytes, sha256(p.payload) AS
   CASE WHEN f.first_id IS NULL OR f.first_id = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
   nullif(f.first_id, p.page_id) AS refers_to
 FROM p LEFT JOIN f ON f.payload = p.payload""",
+    "op12_filter_audit": _AUDIT,
 }
 
 
@@ -103,6 +134,13 @@ def op10_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     return dedup(table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
 
 
+@query
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    from feldspar.llm.filteraudit import audit
+
+    return audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     from corpus_pipeline import run
