@@ -141,6 +141,24 @@ def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    from feldspar.llm.periodic import collapse, echoed, longest
+
+    found = collapse(echoed(table(spark, folder, "documents"))).withColumn("best", longest())
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     from corpus_pipeline import run
