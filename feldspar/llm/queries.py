@@ -134,6 +134,13 @@ def op10_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     return dedup(table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
 
 
+@query
+def op11_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    from feldspar.llm.passages import dedup
+
+    return dedup(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     from feldspar.llm.filteraudit import audit

@@ -9,6 +9,7 @@ import numpy as np
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LETTERS = np.random.default_rng(20).integers(0, 2**64, 256, np.uint64)
+_EXACT = _LETTERS.copy()
 _LETTERS[65:91] = _LETTERS[97:123]
 _BASE = 0x9E3779B97F4A7C15
 _GAP = re.compile(rb"[\x09-\x0d\x20]")
@@ -34,20 +35,21 @@ def _table(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def word_hashes(octets: bytes) -> np.ndarray:
-    """One hash per word (runs of bytes other than ASCII white space) in order; A-Z count as a-z."""
+def word_hashes(octets: bytes, exact: bool = False) -> np.ndarray:
+    """One hash per word (runs of bytes other than ASCII white space) in order; A-Z count as a-z unless ``exact``."""
+    letters = _EXACT if exact else _LETTERS
     if len(octets) > 2 * PART_BYTES:
         parts, at = [], 0
         while at < len(octets):
             gap = _GAP.search(octets, at + PART_BYTES)
             end = gap.start() if gap else len(octets)
-            parts.append(_hashes(octets[at:end]))
+            parts.append(_hashes(octets[at:end], letters))
             at = end
         return np.concatenate(parts)
-    return _hashes(octets)
+    return _hashes(octets, letters)
 
 
-def _hashes(octets: bytes) -> np.ndarray:
+def _hashes(octets: bytes, letters: np.ndarray) -> np.ndarray:
     b = np.frombuffer(octets, np.uint8)
     n = len(b)
     if not n:
@@ -58,5 +60,5 @@ def _hashes(octets: bytes) -> np.ndarray:
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     first, last = edges[::2], edges[1::2]
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_LETTERS[b] * power[:n], out=sums[1:])
+    np.cumsum(letters[b] * power[:n], out=sums[1:])
     return mixed((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
