@@ -96,14 +96,33 @@ def _(spark, d):
     return orders_split(spark, d).select("o_orderkey", fn.multiplicative_noise(F.col("price"), 0).alias("price"))
 
 
-@query("multiplicative_noise_level")
+def _uniform_sql(key: str, seed: int, part: int = 0) -> str:
+    digits = f"substr(md5(CAST({key} AS VARCHAR) || '#{seed}'), {1 + 16 * part}, 13)"
+    return f"((CAST('0x' || {digits} AS BIGINT) + 0.5) / {1 << 52}.0::DOUBLE)"
+
+
+_NORMAL = f"sqrt(-2.0 * ln({_uniform_sql('o_orderkey', 7)})) * cos(2.0 * pi() * {_uniform_sql('o_orderkey', 7, 1)})"
+
+
+@query(
+    "multiplicative_noise_level",
+    f"SELECT o_orderkey, o_totalprice AS price, o_totalprice * (1.0 + CAST(0.05 AS DOUBLE) * {_NORMAL}) AS noisy FROM orders",
+    rounds=["noisy"],
+)
 def _(spark, d):
-    return orders_split(spark, d).select("o_orderkey", "price", fn.multiplicative_noise(F.col("price"), 0.05).alias("noisy"))
+    noisy = fn.multiplicative_noise(F.col("price"), 0.05, F.col("o_orderkey"))
+    return orders_split(spark, d).select("o_orderkey", "price", noisy.alias("noisy"))
 
 
-@query("laplace_noise")
+@query(
+    "laplace_noise",
+    f"""SELECT o_orderkey, price, price - 10.0::DOUBLE * sign(u) * ln(1.0 - 2 * abs(u)) AS noisy
+FROM (SELECT o_orderkey, o_totalprice AS price, {_uniform_sql('o_orderkey', 7)} - CAST(0.5 AS DOUBLE) AS u FROM orders)""",
+    rounds=["noisy"],
+)
 def _(spark, d):
-    return orders_split(spark, d).select("o_orderkey", "price", fn.laplace_noise(F.col("price"), 10.0).alias("noisy"))
+    noisy = fn.laplace_noise(F.col("price"), 10.0, F.col("o_orderkey"))
+    return orders_split(spark, d).select("o_orderkey", "price", noisy.alias("noisy"))
 
 
 def _likelihood_sql() -> str:

@@ -40,15 +40,31 @@ def clip_max(x: Column, limit: float) -> Column:
     return F.when(x > limit, F.lit(limit)).otherwise(x)
 
 
-def multiplicative_noise(x: Column, level: float, seed: int = 7) -> Column:
-    """x * (1 + level * standard normal); level 0 is the identity."""
-    return x if level == 0 else x * (F.lit(1.0) + F.lit(float(level)) * F.randn(seed))
+def multiplicative_noise(x: Column, level: float, key: Column | None = None, seed: int = 7) -> Column:
+    """x * (1 + level * standard normal), drawn from the key; level 0 is the identity."""
+    if level == 0:
+        return x
+    if key is None:
+        raise ValueError("noise above level 0 needs a key to be drawn from")
+    return x * (F.lit(1.0) + F.lit(float(level)) * keyed_normal(key, seed))
 
 
-def laplace_noise(x: Column, scale: float, seed: int = 7) -> Column:
-    """x + Laplace(0, scale) by inversion of one uniform draw."""
-    u = F.rand(seed) - F.lit(0.5)
-    return x - F.lit(float(scale)) * F.signum(u) * F.log(F.greatest(F.lit(1.0) - 2 * F.abs(u), F.lit(1e-300)))
+def laplace_noise(x: Column, scale: float, key: Column, seed: int = 7) -> Column:
+    """x + Laplace(0, scale), drawn from the key: the inverse distribution function of a uniform number."""
+    u = keyed_uniform(key, seed) - F.lit(0.5)
+    return x - F.lit(float(scale)) * F.signum(u) * F.log(F.lit(1.0) - 2 * F.abs(u))
+
+
+def keyed_uniform(key: Column, seed: int = 0, part: int = 0) -> Column:
+    """A repeatable number inside (0, 1), never an end, from 52 bits of the md5 of key and seed; a key has two such parts."""
+    digits = F.substring(F.md5(F.concat(key.cast("string"), F.lit(f"#{seed}"))), 1 + 16 * part, 13)
+    return (F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 52))
+
+
+def keyed_normal(key: Column, seed: int = 0) -> Column:
+    """A repeatable standard normal number: both uniform parts of the key by the transform of Box and Muller."""
+    radius = F.sqrt(F.lit(-2.0) * F.log(keyed_uniform(key, seed, 0)))
+    return radius * F.cos(F.lit(2.0) * F.pi() * keyed_uniform(key, seed, 1))
 
 
 def hash_share(key: Column, seed: int = 0) -> Column:

@@ -91,16 +91,18 @@ def smoothed_target_mean(
     smoothing: float = 10,
     noise_level: float = 0,
     seed: int = 7,
+    key: str | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Category mean m shrunk to the prior: prior*(1-l) + m*l with l = 1/(1+exp(-(n-min_leaf)/smoothing)).
 
     The same train table serves train and test rows (train values are in-sample); null and unseen give the prior.
+    Noise is drawn from ``key``, anew for every column.
     """
     train = df.filter(q(TRAIN) == 1).select(*dict.fromkeys([*columns, target]))
     y = q(target).cast("double")
     tables = tables_by_column(train, columns, [F.sum(y).alias("__ysum"), F.count(y).alias("__ycnt")])
     new = []
-    for c in columns:
+    for i, c in enumerate(columns):
         total = tables[c].agg(F.sum("__ysum").alias("s"), F.sum("__ycnt").alias("n")).first()
         prior = F.lit(_ratio(total["s"] or 0.0, total["n"] or 0))
         mean = F.col("__ysum") / F.nullif(F.col("__ycnt"), F.lit(0).cast("long"))
@@ -108,7 +110,7 @@ def smoothed_target_mean(
         joined = lookup_join(df, tables[c], [c], weight="__n", null_safe=False, stored=True)
         value = F.coalesce(prior * (F.lit(1.0) - lam) + mean * lam, prior)
         name = f"smooth_{target}@{c}"
-        df = joined.withColumn(name, multiplicative_noise(value, noise_level, seed)).drop("__n", "__ysum", "__ycnt")
+        df = joined.withColumn(name, multiplicative_noise(value, noise_level, None if key is None else q(key), seed + i)).drop("__n", "__ysum", "__ycnt")
         new.append(name)
     return df, new
 

@@ -31,11 +31,23 @@ def test_log1p_and_rounding(spark):
 
 
 def test_noise_is_centred_and_level_zero_is_identity(spark):
-    df = spark.range(20000).select(F.lit(100.0).alias("x"))
-    row = df.select(fn.laplace_noise(F.col("x"), 2.0).alias("l"), fn.multiplicative_noise(F.col("x"), 0.1).alias("m")).agg(
-        F.avg("l"), F.avg(F.abs(F.col("l") - 100)), F.avg("m"), F.stddev("m")
-    ).first()
+    df = spark.range(20000).select("id", F.lit(100.0).alias("x"))
+    key = F.col("id")
+    noisy = df.select("id", fn.laplace_noise(F.col("x"), 2.0, key).alias("l"), fn.multiplicative_noise(F.col("x"), 0.1, key).alias("m"))
+    row = noisy.agg(F.avg("l"), F.avg(F.abs(F.col("l") - 100)), F.avg("m"), F.stddev("m"), F.kurtosis("m"), F.corr("l", "m")).first()
     assert abs(row[0] - 100) < 0.1 and abs(row[1] - 2.0) < 0.1 and abs(row[2] - 100) < 0.5 and abs(row[3] - 10) < 0.5
+    assert abs(row[4]) < 0.15
+    assert df.select(fn.multiplicative_noise(F.col("x"), 0).alias("m")).distinct().collect() == [(100.0,)]
+    with pytest.raises(ValueError):
+        fn.multiplicative_noise(F.col("x"), 0.1)
+
+
+def test_noise_does_not_depend_on_partitions(spark):
+    df = spark.range(500).select("id", F.lit(100.0).alias("x"))
+    draw = lambda d: sorted(map(tuple, d.select("id", fn.laplace_noise(F.col("x"), 2.0, F.col("id")), fn.keyed_normal(F.col("id"), 3)).collect()))
+    assert draw(df.repartition(3)) == draw(df.repartition(30))
+    other = df.select(fn.keyed_normal(F.col("id"), 3).alias("a"), fn.keyed_normal(F.col("id"), 4).alias("b"))
+    assert abs(other.agg(F.corr("a", "b")).first()[0]) < 0.15
 
 
 def test_inf_and_nan_impute_combined_equals_sequence(spark):
