@@ -6,9 +6,10 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import functions as F
 
-from feldspar.catalog.base import PARTS, comments, orders_split, parts, query
+from feldspar.catalog.base import CLAIMS, PARTS, claims, comments, md5_fold, orders_split, parts, query
 from feldspar.functions import text as tx
 from feldspar.functions.numeric import hash_fold
+from feldspar.operators import boosting as bo
 from feldspar.operators import learn as ln
 from feldspar.operators import recipes as cp
 from feldspar.operators import textfeatures as tf
@@ -104,8 +105,39 @@ def _(spark, d):
 
 @query("boosted_fit_cv")
 def _(spark, d):
-    model = GBTClassifier(maxIter=4, maxDepth=3, seed=27, subsamplingRate=0.8)
-    return ln.boosted_fit_cv(_numbers(spark, d), NUMBERS, "toxic", model, "doc_id", k=2)[0]
+    model = GBTClassifier(maxIter=20, maxDepth=3, seed=27, subsamplingRate=0.8)
+    return bo.boosted_fit_cv(_numbers(spark, d), NUMBERS, "toxic", model, "doc_id", patience=10)[0]
+
+
+@query("boosted_fit_cv_regress")
+def _(spark, d):
+    model = GBTRegressor(maxIter=10, maxDepth=3, stepSize=0.3, seed=27)
+    return bo.boosted_fit_cv(_prices(spark, d), INPUTS, "logerror", model, "o_orderkey", k=3, patience=10, order=["day", "o_orderkey"])[0]
+
+
+def _binary_boost_sql(k: int) -> str:
+    """With one 0/1 input every round ranks rows by that input, so that the first round is chosen."""
+    area = """CASE WHEN {up} THEN 1 WHEN {down} THEN -1 ELSE 0 END
+      * ((sum(y * x) * sum((1 - y) * (1 - x)) - sum(y * (1 - x)) * sum((1 - y) * x))::DOUBLE / nullif(sum(y) * sum(1 - y), 0)) / 2 + 0.5"""
+    rate = "sum({w}y * x)::DOUBLE * nullif(sum({w}(1 - x)), 0) {sign} sum({w}y * (1 - x))::DOUBLE * nullif(sum({w}x), 0)"
+    parts = " UNION ALL ".join(
+        f"""SELECT {f} AS f, fold = {f} AS held, y, x FROM t""" for f in range(k)
+    )
+    return f"""WITH t AS (SELECT c_custkey, target AS y, CASE WHEN region < 2 THEN 1 ELSE 0 END AS x, is_train, {md5_fold('c_custkey', k)} AS fold FROM ({CLAIMS})),
+r AS (SELECT y, x FROM t WHERE is_train = 1), p AS (SELECT * FROM ({parts.replace('FROM t', 'FROM t WHERE is_train = 1')})),
+d AS (SELECT f, {rate.format(w='', sign='>')} AS up, {rate.format(w='', sign='<')} AS down FROM p WHERE NOT held GROUP BY f),
+s AS (SELECT p.f, held, {area.format(up='any_value(up)', down='any_value(down)')} AS auc FROM p JOIN d ON d.f = p.f GROUP BY p.f, held),
+w AS (SELECT {rate.format(w='', sign='>')} AS up, {rate.format(w='', sign='<')} AS down FROM r)
+SELECT 'auc' AS metric, CAST(1 AS INT) AS rounds, avg(auc) FILTER (WHERE NOT held) AS train_mean, stddev_pop(auc) FILTER (WHERE NOT held) AS train_std,
+  avg(auc) FILTER (WHERE held) AS test_mean, stddev_pop(auc) FILTER (WHERE held) AS test_std,
+  (SELECT {area.format(up='any_value(up)', down='any_value(down)')} FROM r, w) AS train,
+  (SELECT {area.format(up='any_value(up)', down='any_value(down)')} FROM t, w WHERE is_train = 0) AS test FROM s"""
+
+
+@query("boosted_fit_cv_binary", _binary_boost_sql(5), rounds=["train_mean", "train_std", "test_mean", "test_std", "train", "test"])
+def _(spark, d):
+    df = claims(spark, d).withColumn("x", (F.col("region") < 2).cast("int"))
+    return bo.boosted_fit_cv(df, ["x"], "target", GBTClassifier(maxIter=4, maxDepth=1, seed=27), "c_custkey", patience=2)[0]
 
 
 @query("fit_report_cv")

@@ -268,36 +268,6 @@ def fit_report_cv(
     return df.sparkSession.createDataFrame([row], schema), importances(model, columns)
 
 
-def boosted_fit_cv(
-    df: DataFrame, columns: Sequence[str], label: str, estimator: GBTClassifier, key: str, k: int = 5, patience: int = 50
-) -> tuple[DataFrame, list[tuple[str, float]]]:
-    """Choose the number of boosting rounds by k-fold loss per round, refit, report.
-
-    One row: best round count, mean fold AUC at full length, and train/test AUC of the refit. The search stops
-    at the first round after which ``patience`` rounds bring no lower mean loss.
-    """
-    ready = assemble(df, columns).withColumns({"__fold": hash_fold(q(key), k), label: q(label).cast("double")})
-    train, test = split(ready)
-    own = for_label(estimator, label)
-    losses, scores = [], []
-    for f in range(k):
-        model = own.fit(train.filter(q("__fold") != f))
-        held = train.filter(q("__fold") == f)
-        losses.append(model.evaluateEachIteration(held))
-        scores.append(auc(model.transform(held), label))
-    mean = [sum(col) / k for col in zip(*losses)]
-    best = 0
-    for i, v in enumerate(mean):
-        if v < mean[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    model = own.copy({own.maxIter: best + 1}).fit(train)
-    row = (best + 1, sum(scores) / k, auc(model.transform(train), label), auc(model.transform(test), label))
-    schema = "rounds int, cv_auc double, auc_train double, auc_test double"
-    return df.sparkSession.createDataFrame([row], schema), importances(model, columns, 100)
-
-
 def cross_val_auc(
     df: DataFrame, features: Sequence[str] | None, targets: Sequence[str], key: str, k: int = 3, c: float = 0.1, max_iter: int = 100
 ) -> DataFrame:

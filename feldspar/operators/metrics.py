@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,6 +94,15 @@ def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
     return total.select(((F.col("ranks") - F.col("n1") * (F.col("n1") + 1) / 2) / pairs).alias("auc"))
 
 
+def roc_auc_by(counted: DataFrame, groups: Sequence[str], score: str, pos: str, n: str) -> DataFrame:
+    """(groups, auc) from rows and positive rows per group and distinct score; null where a group has one class only."""
+    upto = running_counts(counted, [*[q(g) for g in groups], q(score)], {"__upto": q(n)})
+    n1, both = F.sum(pos).cast("double"), F.sum(n).cast("double")
+    before = F.min(F.col("__upto") - q(n))
+    ranks = F.sum(q(pos) * (F.col("__upto") - (q(n) - 1) / F.lit(2.0))) - before * n1
+    return upto.groupBy(*groups).agg(((ranks - n1 * (n1 + 1) / 2) / F.nullif(n1 * (both - n1), F.lit(0.0))).alias("auc"))
+
+
 def gini_normalized(df: DataFrame, y: str, score: str) -> DataFrame:
     """2 * AUC - 1 for 0/1 labels."""
     return roc_auc(df, y, score).select((2 * F.col("auc") - 1).alias("gini"))
