@@ -36,6 +36,8 @@ LEVELS = (4, 7, 13)
 #: Text that one task of a level holds, and text whose windows meet in one bucket. Long documents may exceed the first.
 BATCH_BYTES = 8 << 20
 BUCKET_BYTES = 32 << 20
+#: Neither holds less than this for the sake of more tasks: their product is the number of arrays.
+LEAST_BYTES = 1 << 20
 _PARTS = "bucket long, batch long, blob binary"
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -82,7 +84,8 @@ class _Batch:
         last = length == WINDOW
         if not len(at):
             return (*(np.empty(0, t) for t in (np.uint64, np.uint32, np.int64, bool)), at)
-        name = _smallest(_windows(self.h, length, _BASES[0]), WINDOW - length + 1)[at]
+        # Mixed again, for the smallest of several hashes are not spread evenly over the buckets.
+        name = mixed(_smallest(_windows(self.h, length, _BASES[0]), WINDOW - length + 1)[at])
         check = (_windows(mixed(self.h), length, _BASES[1])[at] >> np.uint64(32)).astype(np.uint32) if last else None
         doc, owner = self.doc[at], self.owner[at]
         # Neighbouring stretches of a document mostly have the same smallest window.
@@ -210,7 +213,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     small_batches(spark)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    batches, buckets = max(4 * parts, size // BATCH_BYTES), max(parts, size // BUCKET_BYTES)
+    batches, buckets = (max(size // most, min(2 * parts, size // LEAST_BYTES), 1) for most in (BATCH_BYTES, BUCKET_BYTES))
     whole = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(2**63 - 1)).alias("owner"), whole.alias("text"))
     rows = rows.withColumn("batch", F.pmod(F.xxhash64("key", "text"), F.lit(batches))).repartition(parts, "batch")

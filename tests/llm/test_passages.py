@@ -76,6 +76,7 @@ def test_long_text_and_hot_passage(spark):
 def test_many_batches_and_buckets(spark, monkeypatch):
     monkeypatch.setattr(passages, "BATCH_BYTES", 300)
     monkeypatch.setattr(passages, "BUCKET_BYTES", 100)
+    monkeypatch.setattr(passages, "LEAST_BYTES", 50)
     rng = np.random.default_rng(4)
     shared = words(rng, 30)
     check(spark, [(i, f"{words(rng, 5)} {shared if i % 3 else ''} {words(rng, 20)}") for i in range(100)])
