@@ -7,10 +7,12 @@ entity however many rows it has. RANGE frames on an integer day or month number
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, insort
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,54 +88,114 @@ def skew_kurt(n: Column, g1: Column, g2: Column) -> tuple[Column, Column]:
     return skew, kurt
 
 
+# The frame lengths in days and the order of the statistics' columns.
+HISTORY_LENGTHS = (30, 60, 90, 180, 360)
+HISTORY_STATS = ("cnt", "mean", "med", "hmean", "std", "skew", "kurt", "pct10", "pct90")
+#: Frames laid side by side in memory.
+FRAME_ROWS = 4096
+
+
+def _sliding_percentiles(values: np.ndarray, start: np.ndarray, stop: np.ndarray, probs: Sequence[float]) -> np.ndarray:
+    """Linear-interpolation percentiles of values[start:stop] for frames whose ends never move back; NaN where empty.
+
+    One sorted list follows the frames: a value enters and leaves it once.
+    """
+    out = np.full((len(start), len(probs)), np.nan)
+    held: list[float] = []
+    first = last = 0
+    for i, (a, b) in enumerate(zip(start.tolist(), stop.tolist())):
+        for v in values[last:b].tolist():
+            insort(held, v)
+        last = max(last, b)
+        for v in values[first:a].tolist():
+            del held[bisect_left(held, v)]
+        first = max(first, a)
+        if held:
+            for j, p in enumerate(probs):
+                at = p * (len(held) - 1)
+                low = int(at)
+                high = min(low + 1, len(held) - 1)
+                out[i, j] = held[low] * (1 - (at - low)) + held[high] * (at - low)
+    return out
+
+
+def _frame_statistics(values: np.ndarray, start: np.ndarray, stop: np.ndarray) -> dict[str, np.ndarray]:
+    """Count, mean, harmonic mean, sample std, bias-corrected skewness and kurtosis of values[start:stop]; NaN where undefined."""
+    n = (stop - start).astype(float)
+    width = int(n.max()) if len(n) else 0
+    parts = []
+    for at in range(0, len(n), FRAME_ROWS):
+        rows = slice(at, at + FRAME_ROWS)
+        cells = start[rows, None] + np.arange(width)
+        inside = cells < stop[rows, None]
+        v = np.where(inside, values[np.minimum(cells, len(values) - 1)], 0.0) if len(values) else np.zeros(cells.shape)
+        m = n[rows]
+        mean = v.sum(1) / m
+        inverse = np.where(inside, 1.0 / np.where(inside, v, 1.0), 0.0).sum(1)
+        gap = np.where(inside, v - mean[:, None], 0.0)
+        square = gap * gap
+        m2, m3, m4 = square.sum(1) / m, (square * gap).sum(1) / m, (square * square).sum(1) / m
+        varied = m2 > 0
+        skew = np.where(varied & (m >= 3), m3 / m2**1.5 * np.sqrt(m * (m - 1)) / (m - 2), np.nan)
+        kurt = np.where(varied & (m >= 4), (m - 1) / ((m - 2) * (m - 3)) * ((m + 1) * (m4 / (m2 * m2) - 3) + 6), np.nan)
+        std = np.where(m >= 2, np.sqrt(square.sum(1) / (m - 1)), np.nan)
+        same = np.where(inside, v == v[:, :1], True).all(1)  # a mean that is off by its last bit is no spread
+        parts.append((mean, m / inverse, np.where(same & (m >= 2), 0.0, std), np.where(same, np.nan, skew), np.where(same, np.nan, kurt)))
+    return dict(zip(("mean", "hmean", "std", "skew", "kurt"), map(np.concatenate, zip(*parts)))) | {"cnt": n}
+
+
 def history_distribution(
     df: DataFrame, entity: str, day: str, value: str, order: Sequence[str], use_test_target: bool = False
 ) -> tuple[DataFrame, list[str]]:
-    """Nine statistics of the last 30, 60, 90, 180 and 360 days before the horizon; values must be positive."""
-    tp = horizon(df, day)
-    daily = daily_series(df, entity, day, value, order, use_test_target)
-    bad = daily.filter("__v <= 0").limit(1).count()
-    if bad:
+    """Nine statistics of the last 30, 60, 90, 180 and 360 days before the horizon; values must be positive.
+
+    The rows are read once for one value per (entity, day), from which the horizon and all frames follow. An entity's days
+    are one group, bounded by the calendar however many rows it has.
+    """
+    v = q(value).cast("double")
+    if not use_test_target:
+        v = F.when(q(TRAIN) == 1, v)
+    rank = F.struct(F.lit(1) - q(TRAIN), *[q(o) for o in order])
+    sums = [F.max_by(v, rank).alias("v"), F.count(F.lit(1)).alias("n"), F.max(q(TRAIN) == 0).alias("test")]
+    daily = materialize(df.groupBy(entity, day).agg(*sums))
+    known = daily.agg(F.min(F.when(F.col("test"), q(day))).alias("a"), F.max(F.when(F.col("test"), q(day))).alias("b"), F.count_if(F.col("v") <= 0).alias("bad")).first()
+    if known["a"] is None:
+        raise ValueError("there are no test rows")
+    if known["bad"]:
         raise ValueError(f"{value} must be greater than 0")
-    whole = Window.partitionBy(entity)
-    daily = daily.withColumns({"__first": F.min("__d").over(whole), "__any": F.max(F.col("__v").isNotNull()).over(whole)})
-    lengths = (30, 60, 90, 180, 360)
-    raw: dict[str, Column] = {}
-    for length in lengths:
-        frame = Window.partitionBy(entity).orderBy("__d").rangeBetween(-(tp + length - 1), -tp)
-        aggs = {
-            "n": F.count("__v"),
-            "avg": F.avg("__v"),
-            "lo": F.min("__v"),
-            "hi": F.max("__v"),
-            "inv": F.sum(F.lit(1.0) / F.col("__v")),
-            "std": F.stddev_samp("__v"),
-            "g1": F.skewness("__v"),
-            "g2": F.kurtosis("__v"),
-            "pct": F.percentile("__v", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))),
-        }
-        raw |= {f"__{s}{length}": c.over(frame) for s, c in aggs.items()}
-    daily = daily.select(entity, day, "__n", "__d", "__first", "__any", *[c.alias(n) for n, c in raw.items()])
-    alive = F.col("__any") & (F.col("__d") - tp >= F.col("__first"))
-    new: dict[str, Column] = {}
-    for length in lengths:
-        at = lambda s, length=length: F.col(f"__{s}{length}")
-        varied = at("hi") > at("lo")
-        skew, kurt = skew_kurt(at("n"), at("g1"), at("g2"))
-        span = f"on_{tp + length - 1}-{tp}({length})"
-        new |= {
-            f"cnt_{span}": F.when(alive, at("n")),
-            f"mean_{span}": at("avg"),
-            f"med_{span}": F.get(at("pct"), F.lit(1)),
-            f"hmean_{span}": F.when(at("n") > 0, at("n") / at("inv")),
-            f"std_{span}": at("std"),
-            f"skew_{span}": F.when(varied, skew),
-            f"kurt_{span}": F.when(varied, kurt),
-            f"pct10_{span}": F.get(at("pct"), F.lit(0)),
-            f"pct90_{span}": F.get(at("pct"), F.lit(2)),
-        }
-    table = daily.select(entity, day, "__n", *[c.alias(n) for n, c in new.items()])
-    return lookup_join(df, table, [entity, day], weight="__n").drop("__n"), list(new)
+    tp = (known["b"] - known["a"]).days
+    names = {length: [f"{s}_on_{tp + length - 1}-{tp}({length})" for s in HISTORY_STATS] for length in HISTORY_LENGTHS}
+    new = [n for part in names.values() for n in part]
+
+    def describe(table: pa.Table) -> pa.Table:
+        table = table.sort_by("d")
+        d = table.column("d").to_numpy()
+        v = table.column("v").to_numpy(zero_copy_only=False).astype(float)
+        present = ~np.isnan(v)
+        values, days = v[present], d[present]
+        alive = (d - tp >= d[0]) & present.any()
+        stop = np.searchsorted(days, d - tp, "right")
+        columns = {}
+        for length, of in names.items():
+            start = np.searchsorted(days, d - (tp + length - 1), "left")
+            with np.errstate(all="ignore"):
+                stats = _frame_statistics(values, start, stop)
+            stats["pct10"], stats["med"], stats["pct90"] = _sliding_percentiles(values, start, stop, (0.1, 0.5, 0.9)).T
+            counts = stats.pop("cnt").astype(np.int64)
+            for s, name in zip(HISTORY_STATS, of):
+                if s == "cnt":
+                    columns[name] = pa.array(counts, mask=~alive)
+                else:
+                    columns[name] = pa.array(stats[s], mask=np.isnan(stats[s]))
+        return pa.table({"e": table.column("e"), "day": table.column("day"), "n": table.column("n"), **columns})
+
+    types = daily.schema
+    fields = [T.StructField("e", types[entity].dataType), T.StructField("day", types[day].dataType), T.StructField("n", T.LongType())]
+    fields += [T.StructField(n, T.LongType() if n.startswith("cnt_") else T.DoubleType()) for n in new]
+    days = daily.select(q(entity).alias("e"), q(day).alias("day"), "n", "v", day_number(q(day)).cast("long").alias("d"))
+    table = spread(days.filter("day is not null"), "e").groupBy("e").applyInArrow(describe, T.StructType(fields))
+    table = table.withColumnsRenamed({"e": entity, "day": day, "n": "__n"})
+    return lookup_join(df, table, [entity, day], weight="__n").drop("__n"), new
 
 
 FLAG_MONTHS = (1, 2, 3, 6, 12)
