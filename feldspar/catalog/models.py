@@ -229,7 +229,7 @@ def _(spark, d):
 @query("permutation_importance")
 def _(spark, d):
     model = GBTClassifier(maxIter=2, maxDepth=3, seed=7)
-    return ln.permutation_importance(_numbers(spark, d), NUMBERS, "quality", "doc_id", model, runs=1)
+    return ln.permutation_importance(_numbers(spark, d), NUMBERS, "quality", "doc_id", model)
 
 
 @query("greedy_rfe")
@@ -241,7 +241,7 @@ def _(spark, d):
 
 @query("boruta_select")
 def _(spark, d):
-    return ln.boruta_select(_numbers(spark, d), NUMBERS, "quality", "doc_id", RandomForestClassifier(numTrees=10, maxDepth=4), rounds=4)
+    return ln.boruta_select(_numbers(spark, d), NUMBERS, "quality", "doc_id", RandomForestClassifier(numTrees=10, maxDepth=4))
 
 
 @query("select_from_model")

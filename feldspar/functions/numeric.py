@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import exp
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -67,6 +69,17 @@ def keyed_normal(key: Column, seed: int = 0) -> Column:
     return radius * F.cos(F.lit(2.0) * F.pi() * keyed_uniform(key, seed, 1))
 
 
+def keyed_poisson(key: Column, mean: float, seed: int = 0) -> Column:
+    """A repeatable Poisson number: how many steps of the distribution function the key's uniform number passes."""
+    steps, share, total = [], exp(-mean), 0.0
+    while total + share < 1.0 and (share > 2.0**-52 or len(steps) <= mean):
+        total += share
+        steps.append(total)
+        share *= mean / len(steps)
+    u = keyed_uniform(key, seed)
+    return F.size(F.filter(F.array(*[F.lit(s) for s in steps]), lambda s: s <= u))
+
+
 def hash_share(key: Column, seed: int = 0) -> Column:
     """A repeatable uniform number in [0, 1) from the md5 of a key."""
     text = F.concat(key.cast("string"), F.lit(f"#{seed}")) if seed else key.cast("string")

@@ -16,19 +16,20 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.feature import (
     HashingTF, NGram, OneHotEncoder, RegexTokenizer, StandardScaler, StringIndexer, VectorAssembler, VectorSlicer,
 )
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feldspar.functions import text as tx
-from feldspar.functions.numeric import hash_fold
+from feldspar.functions.numeric import hash_fold, keyed_poisson
 from feldspar.operators import metrics as me
 from feldspar.operators import textfeatures as tf
 from feldspar.operators.profile import TRAIN, q
 from feldspar.operators.splits import kfold_contiguous, time_series_split
 from feldspar.plans.ordering import POSITION, with_position
+from feldspar.plans.permute import in_blocks, permuted
 from feldspar.plans.storage import materialize
 
 FEATURES = "features"
@@ -518,11 +519,14 @@ def min_df_sweep(df: DataFrame, key: str, text: str, label: str, limits: Sequenc
 
 
 def shuffled_target(df: DataFrame, target: str, key: str, seed: int) -> DataFrame:
-    """The rows in key order (``__pos``) with the target column permuted: two layouts joined on position."""
-    own = with_position(df.drop(target), [q(key)])
-    order = F.md5(F.concat(q(key).cast("string"), F.lit(f"#{seed}")))
-    drawn = with_position(df.select(q(target), order.alias("__h"), q(key).alias("__k")), [F.col("__h"), F.col("__k")])
-    return own.join(drawn.select(POSITION, target), POSITION)
+    """The rows in key order (``__pos``) with the target column permuted: the target of each row moves to another position."""
+    placed = materialize(with_position(df, [q(key)]))
+    return _with_moved_target(placed, target, placed.count(), seed)
+
+
+def _with_moved_target(placed: DataFrame, target: str, n: int, seed: int) -> DataFrame:
+    moved = placed.select(permuted(F.col(POSITION), n, F.lit(seed)).alias("__to"), q(target))
+    return placed.drop(target).join(moved, F.col(POSITION) == F.col("__to")).drop("__to")
 
 
 def _blocks(n: int, n_splits: int) -> Column:
@@ -536,25 +540,29 @@ def permutation_importance(
 ) -> DataFrame:
     """(feature, benchmark, permutation, ratio): importances on the real against shuffled targets, best first.
 
-    Shuffled runs permute the target over all rows; benchmark runs draw 80 % samples with replacement. Every
-    run fits on growing time blocks. A feature that a model does not use counts as 1.
+    The rows are numbered in key order once. Shuffled runs move every target to another row by a bijection of positions;
+    benchmark runs draw 80 % with replacement as Poisson weights of the key, so no row is copied. Every run fits on growing
+    blocks of time. A feature that a model does not use counts as 1. All draws come from keys and positions, so the result
+    does not depend on partitions.
     """
     own = for_label(estimator, target)
+    weighted = own.copy({own.getParam("weightCol"): "__weight"})
     sums = {"benchmark": [0.0] * len(columns), "permutation": [0.0] * len(columns)}
+    placed = with_position(assemble(df, columns).select(FEATURES, target, key), [q(key)])
+    n = df.count()
+    placed = materialize(in_blocks(placed.withColumn("__block", _blocks(n, n_splits)), n))
 
-    def add(kind: str, rows: DataFrame) -> None:
-        ready = materialize(assemble(rows, columns).select(FEATURES, target, POSITION))
-        n = ready.count()
-        ready = ready.withColumn("__block", _blocks(n, n_splits))
+    def add(kind: str, rows: DataFrame, learner: Estimator) -> None:
+        ready = materialize(in_blocks(rows, n))
         for b in range(1, n_splits + 1):
-            values = own.fit(ready.filter(F.col("__block") < b)).featureImportances
+            values = learner.fit(ready.filter(F.col("__block") < b)).featureImportances
             for i in range(len(columns)):
                 sums[kind][i] += float(values[i]) or 1.0
 
     for run in range(runs):
-        add("permutation", shuffled_target(df, target, key, seed + run))
-        drawn = df.sample(withReplacement=True, fraction=0.8, seed=seed + run).withColumn("__copy", F.rand(seed + run))
-        add("benchmark", with_position(drawn, [q(key), F.col("__copy")]))
+        add("permutation", _with_moved_target(placed, target, n, seed + run), own)
+        drawn = placed.withColumn("__weight", keyed_poisson(q(key), 0.8, seed + run).cast("double"))
+        add("benchmark", drawn.filter("__weight > 0"), weighted)
     total = runs * n_splits
     rows = [(c, b / total, p / total, b / p) for c, b, p in zip(columns, sums["benchmark"], sums["permutation"])]
     rows.sort(key=lambda r: (-r[3], r[0]))
@@ -618,23 +626,35 @@ def _binomial_tail(hits: int, n: int) -> float:
     return sum(comb(n, i) for i in range(hits, n + 1)) / 2.0**n
 
 
+def with_shadows(placed: DataFrame, values: str, n: int, seed: int, name: str = "__shadow") -> DataFrame:
+    """Add an array like ``values`` in which every place is shuffled over the rows by a permutation of its own.
+
+    ``placed`` has ``__pos`` 0..n-1. Each value is sent to its new position; one shuffle brings the values of a position together.
+    """
+    sent = placed.select(F.col(POSITION), F.posexplode(values).alias("__place", "__value"))
+    sent = sent.select(permuted(F.col(POSITION), n, F.lit(seed), F.col("__place")).alias("__to"), "__place", "__value")
+    met = sent.groupBy("__to").agg(F.sort_array(F.collect_list(F.struct("__place", "__value"))).alias("__met"))
+    return placed.join(met, F.col(POSITION) == F.col("__to")).withColumn(name, F.col("__met.__value")).drop("__to", "__met")
+
+
 def boruta_select(
     df: DataFrame, columns: Sequence[str], label: str, key: str, forest: RandomForestClassifier, rounds: int = 20, alpha: float = 0.05
 ) -> DataFrame:
     """(feature, hits, decision): all-relevant selection against shadow copies.
 
-    Each round gives every row the inputs of another row as shadows (one permutation, so shadows keep their
-    spread and joint distribution but not the link to the label) and fits a forest on both. A hit is an
-    importance above the best shadow's; hits are tested against a fair coin, corrected for the column count.
+    In each round every column gets a shadow, shuffled by a permutation of its own, and a forest is fitted on both. A hit is
+    an importance above the best shadow's; hits are tested against a fair coin, corrected for the column count. Rows are
+    numbered in key order once; shuffles and layout follow from the numbers, so the result does not depend on partitions.
     """
     hits = [0] * len(columns)
-    base = assemble(df, columns).select(q(key), q(label).cast("double").alias("__y"), FEATURES)
+    inputs = F.array(*[q(c).cast("double") for c in columns]).alias("__own")
+    placed = materialize(with_position(df.select(q(key), q(label).cast("double").alias("__y"), inputs), [q(key)]).drop(key))
+    n = placed.count()
     own = for_label(forest, "__y").copy({forest.getParam("featuresCol"): "__both"})
     for r in range(rounds):
-        mixed = shuffled_target(base, FEATURES, key, r).withColumnRenamed(FEATURES, "__shadow")
-        both = mixed.join(base.select(q(key), FEATURES), key)
-        ready = VectorAssembler(inputCols=[FEATURES, "__shadow"], outputCol="__both").transform(both)
-        values = own.copy({own.seed: r}).fit(ready.select("__both", "__y")).featureImportances
+        both = with_shadows(placed, "__own", n, r).withColumn("__both", array_to_vector(F.concat("__own", "__shadow")))
+        ready = materialize(in_blocks(both.select("__both", "__y", POSITION), n))
+        values = own.copy({own.seed: r}).fit(ready).featureImportances
         best_shadow = max(float(values[len(columns) + i]) for i in range(len(columns)))
         for i in range(len(columns)):
             hits[i] += float(values[i]) > best_shadow
