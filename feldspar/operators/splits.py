@@ -1,4 +1,7 @@
-"""Folds and splits. Position-based ones take explicit order columns, which must be unique per row."""
+"""Folds and splits. Position-based ones take explicit order columns, which must be unique per row.
+
+They find the few keys at which a block begins and compare every row's key with them: rows are neither sorted nor moved.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +12,8 @@ from pyspark.sql import functions as F
 
 from feldspar.functions.numeric import hash_fold, hash_share
 from feldspar.operators.profile import q
-from feldspar.plans.ordering import POSITION, group_positions, with_position
+from feldspar.plans.cuts import block_of
+from feldspar.plans.ordering import POSITION, group_positions
 
 
 def stratified_kfold(df: DataFrame, key: str, k: int = 5, target: str | None = None, name: str = "fold") -> DataFrame:
@@ -20,26 +24,18 @@ def stratified_kfold(df: DataFrame, key: str, k: int = 5, target: str | None = N
     return dealt.withColumn(name, (F.col(POSITION) % k).cast("int")).drop(POSITION, "__n")
 
 
-def _ordered(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, int]:
-    placed = with_position(df, [q(c) for c in order])
-    return placed, placed.count()
-
-
 def kfold_contiguous(df: DataFrame, order: Sequence[str], k: int = 5, name: str = "fold") -> DataFrame:
     """K contiguous blocks; the first n mod k of them hold one row more."""
-    placed, n = _ordered(df, order)
+    n = df.count()
     base, extra = divmod(n, k)
-    pos, cut = F.col(POSITION), extra * (base + 1)
-    late = F.lit(extra) + F.floor((pos - cut) / max(base, 1))
-    fold = F.when(pos < cut, F.floor(pos / (base + 1))).otherwise(late)
-    return placed.withColumn(name, fold.cast("int")).drop(POSITION)
+    return df.withColumn(name, block_of(df, order, [f * base + min(f, extra) for f in range(1, k)], n))
 
 
 def contiguous_blocks(df: DataFrame, order: Sequence[str], k: int = 5, name: str = "fold") -> DataFrame:
     """K contiguous blocks of n//k rows; the last takes the rest."""
-    placed, n = _ordered(df, order)
+    n = df.count()
     size = max(n // k, 1)
-    return placed.withColumn(name, F.least(F.floor(F.col(POSITION) / size), F.lit(k - 1)).cast("int")).drop(POSITION)
+    return df.withColumn(name, block_of(df, order, [f * size for f in range(1, k)], n))
 
 
 def time_series_split(df: DataFrame, order: Sequence[str], n_splits: int = 5, name: str = "block") -> DataFrame:
@@ -47,17 +43,16 @@ def time_series_split(df: DataFrame, order: Sequence[str], n_splits: int = 5, na
 
     Blocks hold n // (n_splits + 1) rows; the remainder goes to block 0.
     """
-    placed, n = _ordered(df, order)
+    n = df.count()
     size = max(n // (n_splits + 1), 1)
     first = size + n % (n_splits + 1)
-    block = F.when(F.col(POSITION) < first, 0).otherwise(F.floor((F.col(POSITION) - first) / size) + 1)
-    return placed.withColumn(name, block.cast("int")).drop(POSITION)
+    return df.withColumn(name, block_of(df, order, [first + i * size for i in range(n_splits)], n))
 
 
 def train_test_split_ordered(df: DataFrame, order: Sequence[str], test_size: float = 0.33, name: str = "is_train") -> DataFrame:
     """The first int(n * (1 - test_size)) rows train, the rest test."""
-    placed, n = _ordered(df, order)
-    return placed.withColumn(name, (F.col(POSITION) < int(n * (1 - test_size))).cast("int")).drop(POSITION)
+    n = df.count()
+    return df.withColumn(name, F.lit(1) - block_of(df, order, [int(n * (1 - test_size))], n))
 
 
 def train_test_split_random(
