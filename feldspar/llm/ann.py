@@ -95,10 +95,12 @@ def _search(index: DataFrame, probes: DataFrame, top: int) -> DataFrame:
     def best_of(found: list[tuple]) -> tuple:
         """The first ``top`` of each query in some (queries, ids, scores)."""
         a, b, s = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((b, -s, a))
+        order = np.lexsort((-s, b, a))  # of a repeated id the best score counts, before anything is cut
         a, b, s = a[order], b[order], s[order]
         new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
         a, b, s = a[new], b[new], s[new]
+        order = np.lexsort((b, -s, a))
+        a, b, s = a[order], b[order], s[order]
         keep = np.arange(len(a)) - np.searchsorted(a, a) < top
         return a[keep], b[keep], s[keep]
 
@@ -110,8 +112,11 @@ def _search(index: DataFrame, probes: DataFrame, top: int) -> DataFrame:
                 x, q = (batch.column(c)[i].values.to_numpy().astype(np.float64).reshape(m, -1) for c, m in ((1, len(ids)), (3, len(queries))))
                 found = q @ x.T
                 found[queries[:, None] == ids[None, :]] = -np.inf
-                if len(ids) > top:
-                    cut = np.partition(found, len(ids) - top, axis=1)[:, len(ids) - top]
+                by_id = np.argsort(ids, kind="stable")
+                first = np.flatnonzero(np.concatenate([[True], np.diff(ids[by_id]) != 0]))
+                if len(first) > top:
+                    best = found if len(first) == len(ids) else np.maximum.reduceat(found[:, by_id], first, axis=1)
+                    cut = np.partition(best, len(first) - top, axis=1)[:, len(first) - top]
                     a, b = np.nonzero((found >= (cut - 1e-9 * (1 + np.abs(cut)))[:, None]) & (found > -np.inf))
                 else:
                     a, b = np.nonzero(found > -np.inf)
@@ -134,7 +139,7 @@ def _search(index: DataFrame, probes: DataFrame, top: int) -> DataFrame:
 
 def _best(found: DataFrame, top: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    once = found.withColumn("r", F.row_number().over(order)).where(F.col("r") <= top * TABLES).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
 
 

@@ -54,3 +54,19 @@ def test_many_copies_and_norms(spark):
     assert hits / sum(map(len, want.values())) >= 0.9
     for q in (120, 300):
         assert [i for _, i in got[q]] == [i for _, i in want[q]]
+
+
+def test_repeated_ids_are_ranked_once(spark):
+    """One id with many different vectors takes one place, that of its best score."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(116, 8))
+    ids = [0] + [1] * 59 + list(range(2, 58))
+    rows = [(i, (v * (3 if i == 1 else 1)).tolist()) for i, v in zip(ids, x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r["rank"], r.score) for r in nearest(frame).where("query_id = 0").collect()}
+    scores = {}
+    for i, v in zip(ids[1:], np.array([r[1] for r in rows[1:]])):
+        scores[i] = max(scores.get(i, -np.inf), float(x[0] @ v))
+    want = sorted(scores, key=lambda i: (-scores[i], i))[:20]
+    assert len(got) == 20 and len(set(got) & set(want)) >= 18
+    assert all(abs(s - scores[i]) < 1e-9 for i, (_, s) in got.items()) and sorted(r for r, _ in got.values()) == list(range(1, 21))
