@@ -12,47 +12,61 @@ from feldspar.functions.numeric import divide
 from feldspar.operators.missing import nan_inf_impute
 from feldspar.operators.profile import TRAIN, q
 from feldspar.plans.lookup import lookup_join
-from feldspar.plans.ordering import IN_MEMORY, grouped_quantiles
+from feldspar.plans.ordering import running_counts
 from feldspar.plans.percolumn import tables_by_column
+from feldspar.plans.storage import materialize
 
 STATS = ("count", "mean", "std", "median", "max", "min")
 
 
+def value_counts(df: DataFrame, groups: Sequence[Column], values: Sequence[Column]) -> DataFrame:
+    """(s, k, o, v, c): how often value column o has the value v in the group k of group column s; one scan for all pairs."""
+    keys = F.array(*[F.struct(F.lit(i).alias("s"), g.alias("k")) for i, g in enumerate(groups)])
+    cells = F.array(*[F.struct(F.lit(i).alias("o"), v.alias("v")) for i, v in enumerate(values)])
+    rows = df.select(keys.alias("__keys"), cells.alias("__cells"))
+    rows = rows.select("__cells", F.explode("__keys").alias("g")).select("g.s", "g.k", F.explode("__cells").alias("x")).select("s", "k", "x.o", "x.v")
+    return rows.groupBy("s", "k", "o", "v").agg(F.count(F.lit(1)).alias("c"))
+
+
+def _described(counts: DataFrame) -> DataFrame:
+    """(s, k, o, n, rows, mean, std, median, max, min) from value counts. Only distinct values are sorted, across the cluster; no group is held whole."""
+    of = ["s", "k", "o"]
+    placed = running_counts(counts, [F.col(c) for c in (*of, "v")], {"upto": F.col("c")})
+    known = F.when(F.col("v").isNotNull(), F.col("c"))
+    first = F.min(F.when(F.col("v").isNotNull(), F.col("upto") - F.col("c")))
+    ends = placed.groupBy(*of).agg(
+        F.sum("c").alias("rows"), F.coalesce(F.sum(known), F.lit(0)).alias("n"), first.alias("first"), (F.sum(F.col("v") * known) / F.sum(known)).alias("mean"),
+        F.max("v").alias("max"), F.min("v").alias("min"), F.count(F.lit(1)).alias("__w"),
+    )
+    ends = materialize(ends)
+    joined = lookup_join(placed.filter("v is not null"), ends, of, weight="__w", stored=True)
+    start, gap = F.col("upto") - F.col("c") - F.col("first"), F.col("v") - F.col("mean")
+    holds = lambda at: F.max(F.when((start <= at) & (at < start + F.col("c")), F.col("v")))
+    low, high = F.floor((F.col("n") - 1) / 2), F.ceil((F.col("n") - 1) / 2)
+    spread = joined.groupBy(*of).agg(F.sum(F.col("c") * gap * gap).alias("square"), ((holds(low) + holds(high)) / 2).alias("median"), F.count(F.lit(1)).alias("__w"))
+    out = lookup_join(ends.drop("__w"), spread, of, weight="__w")
+    std = F.when(F.col("n") > 1, F.sqrt(F.col("square") / (F.col("n") - 1)))
+    return out.withColumn("std", std).drop("square", "first", "__w")
+
+
 def group_stats(df: DataFrame, observe: Sequence[str], groups: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """Count, mean, std, median, max and min of each observed column per group, attached to every row.
 
-    Train and test rows count together; a null group is the group ``nan``; remaining nulls become 0.
+    Train and test rows count together; a null group is the group ``nan``; remaining nulls become 0. The rows are read
+    once for counts per (group, value), from which everything follows.
     """
     names = [f"__g{i}" for i in range(len(groups))]
     keyed = df.withColumns({n: F.coalesce(q(g).cast("string"), F.lit("nan")) for n, g in zip(names, groups)})
-    slim = keyed.select(*names, *[q(o).cast("double").alias(f"__o{i}") for i, o in enumerate(observe)])
-    values = [f"__o{i}" for i in range(len(observe))]
-    aggs = [
-        fn(v).alias(f"{v}_{s}")
-        for v in values
-        for s, fn in (("mean", F.avg), ("std", F.stddev_samp), ("max", F.max), ("min", F.min))
-    ]
-    tables = tables_by_column(slim, names, aggs)
-    largest = max(t.agg(F.max("__n")).first()[0] or 0 for t in tables.values())
-    if largest <= IN_MEMORY:
-        halves = [F.percentile(v, F.lit(0.5)).alias(f"{v}@0.5") for v in values]
-        medians = {n: t.drop("__n") for n, t in tables_by_column(slim, names, halves).items()}
-    else:
-        medians = {n: grouped_quantiles(slim, [n], values, [0.5], largest, IN_MEMORY) for n in names}
+    counts = materialize(value_counts(keyed, [F.col(n) for n in names], [q(o).cast("double") for o in observe]))
+    per_pair = _described(counts)
+    cells = [F.max(F.when(F.col("o") == i, F.col("rows" if s == "count" else s))).alias(f"{i}@{s}") for i in range(len(observe)) for s in STATS]
+    tables = materialize(per_pair.groupBy("s", "k").agg(F.max("rows").alias("__n"), *cells))
     new: list[str] = []
-    for n, g in zip(names, groups):
-        watched = [(v, o) for v, o in zip(values, observe) if o != g]
-        stats = tables[n].join(medians[n], n, "left").select(
-            n,
-            "__n",
-            *[
-                F.coalesce(q("__n") if s == "count" else q(f"{v}@0.5") if s == "median" else q(f"{v}_{s}"), F.lit(0)).alias(f"{o}_{s}_on_{g}")
-                for v, o in watched
-                for s in STATS
-            ],
-        )
-        keyed = lookup_join(keyed, stats, [n], weight="__n").drop("__n")
-        new += [f"{o}_{s}_on_{g}" for _v, o in watched for s in STATS]
+    for j, (n, g) in enumerate(zip(names, groups)):
+        made = {f"{o}_{s}_on_{g}": F.coalesce(q(f"{i}@{s}"), F.lit(0)) for i, o in enumerate(observe) if o != g for s in STATS}
+        stats = tables.filter(F.col("s") == j).select(F.col("k").alias(n), "__n", *[c.alias(name) for name, c in made.items()])
+        keyed = lookup_join(keyed, stats, [n], weight="__n", stored=True).drop("__n")
+        new += list(made)
     return keyed.drop(*names), new
 
 

@@ -76,12 +76,21 @@ def test_sorted_quantiles_equal_percentile(spark, skewed):
         assert np.allclose(a[f"x@{p}"], b[f"x@{p}"], atol=1e-12, equal_nan=True)
 
 
-def test_group_stats_paths_agree(spark, skewed, monkeypatch):
-    small, new = groupstats.group_stats(skewed, ["x"], ["k"])
-    a = small.toPandas().sort_values("id")[new].to_numpy(float)
-    monkeypatch.setattr(groupstats, "IN_MEMORY", 0)
-    big, _ = groupstats.group_stats(skewed, ["x"], ["k"])
-    assert np.allclose(a, big.toPandas().sort_values("id")[new].to_numpy(float))
+def test_group_stats_equal_pandas(spark, skewed):
+    """Hot and null groups, null values, repeated values, several columns at once."""
+    df = skewed.withColumn("w", (F.col("id") % 5).cast("int")).withColumn("h", F.when(F.col("id") < 2, F.lit("one")).when(F.col("id") < 3, F.lit("two")))
+    got, new = groupstats.group_stats(df, ["x", "w"], ["k", "h"])
+    got = got.toPandas().sort_values("id").reset_index(drop=True)
+    for g in ("k", "h"):
+        keys = got[g].astype(object).where(got[g].notna(), "nan")
+        for o in ("x", "w"):
+            by = got[o].astype(float).groupby(keys)
+            expected = {"count": keys.groupby(keys).transform("size"), **{s: by.transform(s) for s in ("mean", "std", "median", "max", "min")}}
+            for s, e in expected.items():
+                assert np.allclose(got[f"{o}_{s}_on_{g}"].astype(float), e.fillna(0).astype(float)), (o, s, g)
+    assert len(new) == 2 * 2 * 6
+    empty, _ = groupstats.group_stats(df.limit(0), ["x"], ["k"])
+    assert empty.count() == 0
 
 
 def test_running_counts(spark, skewed):
