@@ -43,10 +43,9 @@ def _described(counts: DataFrame) -> DataFrame:
     start, gap = F.col("upto") - F.col("c") - F.col("first"), F.col("v") - F.col("mean")
     holds = lambda at: F.max(F.when((start <= at) & (at < start + F.col("c")), F.col("v")))
     low, high = F.floor((F.col("n") - 1) / 2), F.ceil((F.col("n") - 1) / 2)
-    spread = joined.groupBy(*of).agg(F.sum(F.col("c") * gap * gap).alias("square"), ((holds(low) + holds(high)) / 2).alias("median"), F.count(F.lit(1)).alias("__w"))
-    out = lookup_join(ends.drop("__w"), spread, of, weight="__w")
+    spread = joined.groupBy(*of).agg(F.sum(F.col("c") * gap * gap).alias("square"), ((holds(low) + holds(high)) / 2).alias("median"))
     std = F.when(F.col("n") > 1, F.sqrt(F.col("square") / (F.col("n") - 1)))
-    return out.withColumn("std", std).drop("square", "first", "__w")
+    return ends.join(spread, of, "left").withColumn("std", std).drop("square", "first", "__w")  # one row per group on both sides
 
 
 def group_stats(df: DataFrame, observe: Sequence[str], groups: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -57,8 +56,7 @@ def group_stats(df: DataFrame, observe: Sequence[str], groups: Sequence[str]) ->
     """
     names = [f"__g{i}" for i in range(len(groups))]
     keyed = df.withColumns({n: F.coalesce(q(g).cast("string"), F.lit("nan")) for n, g in zip(names, groups)})
-    counts = materialize(value_counts(keyed, [F.col(n) for n in names], [q(o).cast("double") for o in observe]))
-    per_pair = _described(counts)
+    per_pair = _described(value_counts(keyed, [F.col(n) for n in names], [q(o).cast("double") for o in observe]))
     cells = [F.max(F.when(F.col("o") == i, F.col("rows" if s == "count" else s))).alias(f"{i}@{s}") for i in range(len(observe)) for s in STATS]
     tables = materialize(per_pair.groupBy("s", "k").agg(F.max("rows").alias("__n"), *cells))
     new: list[str] = []

@@ -10,15 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from math import ceil, floor, sqrt
 
-from pyspark.sql import Column, DataFrame, Row
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Keys of a bracket that are sorted at the end, and keys that a sample is expected to have.
 SORTED = 20_000
-SAMPLE = 4_096
+SAMPLE = 16_384
 
 
 @dataclass
@@ -28,64 +31,77 @@ class _Bracket:
     rank: int
     size: int
     below: int = 0
-    low: Row | None = None
+    low: tuple | None = None
     strict: bool = False
-    high: Row | None = None
-    key: Row | None = None
+    high: tuple | None = None
+    key: tuple | None = None
 
+    def part(self) -> tuple:
+        return self.low, self.strict, self.high
 
-def order_key(order: Sequence[str]) -> Column:
-    return F.struct(*[F.col(f"`{o}`").alias(f"o{i}") for i, o in enumerate(order)])
 
+class _Sorted:
+    """Keys in order, as they came from Spark; only those that are looked at become tuples."""
 
-def literal(key: Row, kind: T.StructType) -> Column:
-    return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(key, kind)])
+    def __init__(self, keys: pa.ChunkedArray):
+        self.keys = keys
 
+    def __len__(self) -> int:
+        return len(self.keys)
 
-def keys_at(df: DataFrame, order: Sequence[str], ranks: Sequence[int], n: int, in_driver: int | None = None) -> list[Row]:
-    """The key (a Row of the order columns, nulls first) at each rank, 0 to n - 1, of the ``n`` rows.
+    def __getitem__(self, i: int) -> tuple:
+        return tuple(self.keys[i].as_py().values())
+
+
+def before(order: Sequence[str], key: tuple, kind: T.StructType, or_equal: bool = False) -> Column:
+    """Whether a row's key is smaller than ``key``: column by column, nulls first, so that most rows need the first one only."""
+    out = F.lit(or_equal)
+    for o, v, f in reversed(list(zip(order, key, kind))):
+        c, value = F.col(f"`{o}`"), F.lit(v).cast(f.dataType)
+        out = (c.eqNullSafe(value) & out) if v is None else c.isNull() | (c < value) | ((c == value) & out)
+    return out
+
+
+def _kind(df: DataFrame, order: Sequence[str]) -> T.StructType:
+    return T.StructType([df.schema[o] for o in order])
+
+
+def keys_at(df: DataFrame, order: Sequence[str], ranks: Sequence[int], n: int, in_driver: int | None = None) -> list[tuple]:
+    """The key (a tuple of the order columns, nulls first) at each rank, 0 to n - 1, of the ``n`` rows.
 
     Rows with equal keys share their ranks, so a rank among them gives their key.
     """
     limit = SORTED if in_driver is None else in_driver
-    keys = df.select(order_key(order).alias("k"))
-    kind = keys.schema["k"].dataType
-    k = F.col("k")
+    keys, kind = df.select(*[F.col(f"`{o}`") for o in order]), _kind(df, order)
+    whole = F.struct(*[F.col(f"`{o}`").alias(f"o{i}") for i, o in enumerate(order)])
     brackets = [_Bracket(r, n) for r in ranks]
 
     def inside(b: _Bracket) -> Column:
-        parts = [F.lit(True)]
-        if b.low is not None:
-            parts.append(k > literal(b.low, kind) if b.strict else k >= literal(b.low, kind))
-        if b.high is not None:
-            parts.append(k < literal(b.high, kind))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out & p
-        return out
-
-    def gathered(wanted: dict[int, Column]) -> dict[int, list[Row]]:
+        out = F.lit(True) if b.low is None else ~before(order, b.low, kind, b.strict)
+        return out if b.high is None else out & before(order, b.high, kind)
+
+    def gathered(wanted: dict[int, Column]) -> dict[int, _Sorted]:
         """The keys for which each condition holds, in order."""
+        some = keys.filter(reduce(Column.__or__, wanted.values()))  # few rows; the rest is for these alone
         hits = F.filter(F.array(*[F.when(c, F.lit(i)) for i, c in wanted.items()]), lambda i: i.isNotNull())
-        rows = keys.select(F.explode(hits).alias("i"), "k").sort("i", "k").collect()
-        out: dict[int, list[Row]] = {i: [] for i in wanted}
-        for r in rows:
-            out[r["i"]].append(r["k"])
-        return out
+        rows = some.select(F.explode(hits).alias("i"), whole.alias("k")).sort("i", "k").toArrow()
+        at = rows.column("i").to_numpy()
+        return {i: _Sorted(rows.column("k").slice(a := int(np.searchsorted(at, i)), int(np.searchsorted(at, i, "right")) - a)) for i in wanted}
 
     turn = 0
     while wide := [i for i, b in enumerate(brackets) if b.key is None and b.size > limit]:
         turn += 1
-        share = F.pmod(F.xxhash64("k", F.lit(turn)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-        samples = gathered({i: inside(brackets[i]) & (share < SAMPLE / brackets[i].size) for i in wide})
-        pivots = {i: _pivots(brackets[i], samples[i]) for i in wide if samples[i]}
+        share = F.pmod(F.xxhash64(whole, F.lit(turn)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+        same = {i: next(j for j in wide if brackets[j].part() == brackets[i].part()) for i in wide}
+        samples = gathered({i: (share < SAMPLE / brackets[i].size) & inside(brackets[i]) for i in set(same.values())})
+        pivots = {i: _pivots(brackets[i], samples[same[i]]) for i in wide if len(samples[same[i]])}
         counts = []
         for i, (low, high) in pivots.items():
             for side, pivot in (("l", low), ("h", high)):
                 if pivot is None:
                     under = F.lit(False)
                 else:
-                    under = k <= literal(pivot, kind) if side == "h" and low == high else k < literal(pivot, kind)
+                    under = before(order, pivot, kind, side == "h" and low == high)
                 counts.append(F.count_if(inside(brackets[i]) & under).alias(f"{side}{i}"))
         if counts:
             found = keys.agg(*counts).first()
@@ -98,7 +114,7 @@ def keys_at(df: DataFrame, order: Sequence[str], ranks: Sequence[int], n: int, i
     return [b.key for b in brackets]
 
 
-def _pivots(b: _Bracket, sample: list[Row]) -> tuple[Row | None, Row | None]:
+def _pivots(b: _Bracket, sample: _Sorted) -> tuple[tuple | None, tuple | None]:
     """Sampled keys some deviations before and after the rank's place; none at an end of the bracket.
 
     The same key twice stands for itself. Whichever part is kept, it lacks one of the sampled keys, so brackets always shrink.
@@ -112,7 +128,7 @@ def _pivots(b: _Bracket, sample: list[Row]) -> tuple[Row | None, Row | None]:
     return low, high
 
 
-def _narrowed(b: _Bracket, low: Row | None, high: Row | None, under_low: int, under_high: int) -> _Bracket:
+def _narrowed(b: _Bracket, low: tuple | None, high: tuple | None, under_low: int, under_high: int) -> _Bracket:
     """The part of the bracket that holds the rank. ``under_*`` count its keys below the pivots, up to the pivot if both are one key."""
     place = b.rank - b.below
     if low is not None and place < under_low:
@@ -131,8 +147,7 @@ def _narrowed(b: _Bracket, low: Row | None, high: Row | None, under_low: int, un
 def block_of(df: DataFrame, order: Sequence[str], starts: Sequence[int], n: int) -> Column:
     """How many of the ``starts`` (positions in the order) a row's position has reached; a comparison of keys, no layout."""
     reached = [s for s in starts if s < n]
-    kind = df.select(order_key(order).alias("k")).schema["k"].dataType
-    block = F.lit(0)
+    kind, block = _kind(df, order), F.lit(0)
     for key in keys_at(df, order, reached, n):
-        block = block + (order_key(order) >= literal(key, kind)).cast("int")
+        block = block + (~before(order, key, kind)).cast("int")
     return block
