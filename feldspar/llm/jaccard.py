@@ -270,21 +270,35 @@ def set_links(docs: DataFrame, classes: DataFrame, key: str = "doc_id", text: st
     first = _links(docs, near, classes, key, text)
     parts = components(first)
 
+    # In a long list, each set is first compared with the likeliest one only of each block: in a group of near copies that
+    # joins nearly all that the pivots left apart, so that what is left below does not grow with the group's square.
+    told = _apart(lists, parts)
+    likeliest = materialize(_in_blocks(told.where(F.col("m") > LONG_LIST), classes, True).distinct().join(near, ["a", "b"], "left_anti"))
+    if not likeliest.isEmpty():
+        first = materialize(first.union(_links(docs, likeliest, classes, key, text)))
+        told = _apart(lists, components(first))
+        near = near.union(likeliest)
+
     # What a list still holds in different components is compared pair by pair, within the sizes that permit a link.
-    told = lists.join(parts.withColumnRenamed("node", "k"), "k", "left").select("e", "k", "n", F.coalesce("component", "k").alias("g"))
-    open_lists = told.groupBy("e").agg(F.min("g").alias("x"), F.max("g").alias("y"), F.count(F.lit(1)).alias("m")).where("x <> y").select("e", "m")
-    told = materialize(told.join(open_lists, "e"))
     short = told.where(F.col("m") <= LONG_LIST)
     other = short.select("e", F.col("k").alias("b"), F.col("n").alias("n_b"), F.col("g").alias("g_b"))
     rest = short.withColumnRenamed("k", "a").join(other, "e").where(f"a < b and g <> g_b and 100 * least(n, n_b) >= {PERCENT} * greatest(n, n_b)").select("a", "b").distinct()
-    rest = rest.union(_in_blocks(told.where(F.col("m") > LONG_LIST), classes)).distinct()
+    rest = rest.union(_in_blocks(told.where(F.col("m") > LONG_LIST), classes, False)).distinct()
     return first.union(_links(docs, rest.join(near, ["a", "b"], "left_anti"), classes, key, text))
 
 
-def _in_blocks(told: DataFrame, classes: DataFrame) -> DataFrame:
+def _apart(lists: DataFrame, parts: DataFrame) -> DataFrame:
+    """(e, k, n, g: component, m: sets of the list) of the lists that hold several components."""
+    told = lists.join(parts.withColumnRenamed("node", "k"), "k", "left").select("e", "k", "n", F.coalesce("component", "k").alias("g"))
+    open_lists = told.groupBy("e").agg(F.min("g").alias("x"), F.max("g").alias("y"), F.count(F.lit(1)).alias("m")).where("x <> y").select("e", "m")
+    return materialize(told.join(open_lists, "e"))
+
+
+def _in_blocks(told: DataFrame, classes: DataFrame, likeliest: bool) -> DataFrame:
     """(a, b) of different components in long lists that sizes and signatures do not rule out.
 
-    Blocks of a list are compared within tasks; pairs that are ruled out are never rows.
+    Blocks of a list are compared within tasks; pairs that are ruled out are never rows. With ``likeliest`` a set of a block
+    is given only the nearest signature of another component in the other block.
     """
     rows = told.join(classes.select("k", "bits"), "k").withColumn("part", F.pmod(F.xxhash64("k"), F.ceil(F.col("m") / BLOCK_SETS)))
     blocks = rows.groupBy("e", "part").agg(F.collect_list(F.struct("k", "n", "g", "bits")).alias("x"))
@@ -306,6 +320,10 @@ def _in_blocks(told: DataFrame, classes: DataFrame) -> DataFrame:
                 for w in range(BITS // 64):
                     apart += np.bitwise_count(x[:, None, w] ^ y[None, :, w])
                 p, q = np.nonzero(fits & (apart <= allowed) & (g_a[:, None] != g_b[None, :]))
+                if likeliest:
+                    order = np.lexsort((apart[p, q], p))
+                    p, first = np.unique(p, return_index=True)  # np.nonzero gives p in order
+                    q = q[order][first]
                 a, b = np.minimum(k_a[p], k_b[q]), np.maximum(k_a[p], k_b[q])
                 found = np.unique(np.stack([a, b], 1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
