@@ -145,6 +145,115 @@ def _(spark, d):
     return ln.fit_report_cv(_prices(spark, d), INPUTS, "logerror", LinearRegression(), "o_orderkey", k=3)[0]
 
 
+REPORT = ["train", "test", "cv_mean", "cv_std", "cv_min", "cv_max"]
+
+
+def _report_sql(metric: str, rows: str, fit: str, score: str, k: int) -> str:
+    """Fit on the train rows and on those outside each fold; ``score`` is an aggregate over rows y, x and the fitted columns."""
+    folds = " UNION ALL ".join(f"SELECT {f} AS f, t.* FROM t WHERE is_train = 1" for f in range(k))
+    return f"""WITH t AS ({rows}), p AS ({folds}),
+d AS (SELECT f, {fit} FROM p WHERE fold <> f GROUP BY f), w AS (SELECT {fit} FROM t WHERE is_train = 1),
+s AS (SELECT p.f, {score} AS v FROM p JOIN d ON d.f = p.f WHERE fold = p.f GROUP BY p.f)
+SELECT '{metric}' AS metric, (SELECT {score} FROM t, w WHERE is_train = 1) AS train, (SELECT {score} FROM t, w WHERE is_train = 0) AS test,
+  avg(v) AS cv_mean, stddev_pop(v) AS cv_std, min(v) AS cv_min, max(v) AS cv_max FROM s"""
+
+
+@query(
+    "fit_report_cv_line",
+    _report_sql(
+        "rmse",
+        f"SELECT c_custkey, balance AS y, region::DOUBLE AS x, is_train, {md5_fold('c_custkey', 3)} AS fold FROM ({CLAIMS})",
+        "regr_slope(y, x) AS a, regr_intercept(y, x) AS b",
+        "sqrt(avg((y - a * x - b) * (y - a * x - b)))",
+        3,
+    ),
+    rounds=REPORT,
+)
+def _(spark, d):
+    df = claims(spark, d).withColumn("x", F.col("region").cast("double"))
+    return ln.fit_report_cv(df, ["x"], "balance", LinearRegression(solver="normal"), "c_custkey", k=3)[0]
+
+
+@query(
+    "fit_report_cv_gini",
+    _report_sql(
+        "gini",
+        f"SELECT c_custkey, target AS y, CASE WHEN region < 2 THEN 1 ELSE 0 END AS x, is_train, {md5_fold('c_custkey', 3)} AS fold FROM ({CLAIMS})",
+        "sign(avg(y) FILTER (WHERE x = 1) - avg(y) FILTER (WHERE x = 0)) AS up",
+        "any_value(up) * (sum(y * x) * sum((1 - y) * (1 - x)) - sum(y * (1 - x)) * sum((1 - y) * x))::DOUBLE / nullif(sum(y) * sum(1 - y), 0)",
+        3,
+    ),
+    rounds=REPORT,
+)
+def _(spark, d):
+    df = claims(spark, d).withColumn("x", (F.col("region") < 2).cast("int"))
+    return ln.fit_report_cv(df, ["x"], "target", ln.logistic(max_iter=50), "c_custkey", k=3)[0]
+
+
+# One 0/1 input and two targets: a logistic regression ranks rows by the input, and unpenalised it gives each input's own rate.
+TWO = f"""SELECT c_custkey, CASE WHEN region < 2 THEN 1 ELSE 0 END AS x, target, CASE WHEN seg_cat IN ('BUILDING', 'MACHINERY') THEN 1 ELSE 0 END AS other, is_train,
+  {md5_fold('c_custkey', 3)} AS fold FROM ({CLAIMS})"""
+_LONG = f"SELECT c_custkey, x, is_train, fold, unnest(['target', 'other']) AS target, unnest([target, other]) AS y FROM ({TWO})"
+_UP = "sign(avg(y) FILTER (WHERE x = 1) - avg(y) FILTER (WHERE x = 0)) AS up"
+_AREA = """any_value(up) * (sum(y * x) * sum((1 - y) * (1 - x)) - sum(y * (1 - x)) * sum((1 - y) * x))::DOUBLE / nullif(sum(y) * sum(1 - y), 0) / 2 + 0.5"""
+
+
+def _two(spark, d):
+    df = claims(spark, d).withColumn("x", (F.col("region") < 2).cast("int"))
+    return df.withColumn("other", F.col("seg_cat").isin("BUILDING", "MACHINERY").cast("int"))
+
+
+@query(
+    "validate_multilabel_binary",
+    f"""WITH t AS ({_LONG}), w AS (SELECT target, {_UP} FROM t WHERE is_train = 1 GROUP BY target),
+a AS (SELECT t.target, is_train, {_AREA} AS auc FROM t JOIN w ON w.target = t.target GROUP BY t.target, is_train)
+SELECT target, max(auc) FILTER (WHERE is_train = 1) AS auc_trn, max(auc) FILTER (WHERE is_train = 0) AS auc_tst FROM a GROUP BY target""",
+    rounds=["auc_trn", "auc_tst"],
+)
+def _(spark, d):
+    return ln.validate_multilabel(_two(spark, d), ["x"], ["target", "other"], ln.logistic(max_iter=50))[0]
+
+
+@query(
+    "cross_val_auc_binary",
+    f"""WITH t AS ({_LONG}), f AS (SELECT unnest([0, 1, 2]) AS f),
+w AS (SELECT target, f, {_UP} FROM t, f WHERE is_train = 1 AND fold <> f GROUP BY target, f),
+a AS (SELECT t.target, fold, {_AREA} AS auc FROM t JOIN w ON w.target = t.target AND fold = f WHERE is_train = 1 GROUP BY t.target, fold),
+m AS (SELECT target, avg(auc) AS auc FROM a GROUP BY target)
+SELECT target, auc FROM m UNION ALL SELECT NULL, avg(auc) FROM m""",
+    rounds=["auc"],
+)
+def _(spark, d):
+    return ln.cross_val_auc(_two(spark, d), ["x"], ["target", "other"], "c_custkey", max_iter=50)
+
+
+@query(
+    "predict_multilabel_binary",
+    f"""WITH t AS ({TWO}), r AS (SELECT x, avg(target) AS target, avg(other) AS other FROM t WHERE is_train = 1 GROUP BY x)
+SELECT c_custkey, r.target, r.other FROM t JOIN r ON r.x = t.x WHERE is_train = 0""",
+    rounds=["target", "other"],
+    digits=3,
+)
+def _(spark, d):
+    return ln.predict_multilabel(_two(spark, d), ["x"], ["target", "other"], "c_custkey", ln.logistic(max_iter=100))
+
+
+@query(
+    "sign_probability_binary",
+    f"""WITH t AS (SELECT *, CASE WHEN is_train = 1 THEN ntile(3) OVER (PARTITION BY is_train ORDER BY c_custkey) END AS block FROM ({TWO})),
+f AS (SELECT unnest([1, 2, 3]) AS f),
+o AS (SELECT f, x, 2 * avg(target) - 1 AS p FROM t, f WHERE is_train = 1 AND block <> f GROUP BY f, x),
+w AS (SELECT x, 2 * avg(target) - 1 AS p FROM t WHERE is_train = 1 GROUP BY x)
+SELECT c_custkey, CASE WHEN is_train = 1 THEN o.p ELSE w.p END AS logerror_sign_prob
+FROM t JOIN w ON w.x = t.x LEFT JOIN o ON o.x = t.x AND o.f = block""",
+    rounds=["logerror_sign_prob"],
+    digits=3,
+)
+def _(spark, d):
+    out, new = ln.sign_probability(_two(spark, d), ["x"], "target", ["c_custkey"], ln.logistic(max_iter=100), k=3)
+    return out.select("c_custkey", *new)
+
+
 @query("cross_val_auc")
 def _(spark, d):
     return ln.cross_val_auc(_numbers(spark, d), NUMBERS, ["toxic", "quality"], "doc_id", max_iter=10)

@@ -253,19 +253,29 @@ def importances(model: Model, columns: Sequence[str], k: int = 50) -> list[tuple
     return sorted(pairs, key=lambda p: (-p[1], p[0]))[:k]
 
 
+def gini_of(label: str) -> Callable[[DataFrame], float]:
+    return lambda scored: 2 * auc(scored, label) - 1
+
+
 def fit_report_cv(
     df: DataFrame, columns: Sequence[str], label: str, estimator: Estimator, key: str, k: int = 5
 ) -> tuple[DataFrame, list[tuple[str, float]]]:
-    """One row: train/test RMSE and the mean, std, min and max of k-fold RMSE; plus the importances."""
+    """One row: metric, its train/test value and the mean, std, min and max over k folds; plus the importances.
+
+    The metric is the root mean squared error for regressors and the normalised gini, 2 AUC - 1, for classifiers.
+    """
+    classifier = estimator.hasParam("rawPredictionCol")
     ready = assemble(df, columns).withColumn("__fold", hash_fold(q(key), k))
+    if classifier:
+        ready = ready.withColumn(label, q(label).cast("double"))
     train, test = split(ready)
-    own = for_label(estimator, label)
+    own, score = for_label(estimator, label), (gini_of if classifier else rmse_of)(label)
     model = own.fit(train)
-    scores = cross_val_scores(train, own, "__fold", k, rmse_of(label))
+    scores = cross_val_scores(train, own, "__fold", k, score)
     mean = sum(scores) / k
     std = (sum((s - mean) ** 2 for s in scores) / k) ** 0.5
-    row = (rmse_of(label)(model.transform(train)), rmse_of(label)(model.transform(test)), mean, std, min(scores), max(scores))
-    schema = "rmse_train double, rmse_test double, cv_mean double, cv_std double, cv_min double, cv_max double"
+    row = ("gini" if classifier else "rmse", score(model.transform(train)), score(model.transform(test)), mean, std, min(scores), max(scores))
+    schema = "metric string, train double, test double, cv_mean double, cv_std double, cv_min double, cv_max double"
     return df.sparkSession.createDataFrame([row], schema), importances(model, columns)
 
 

@@ -1,4 +1,4 @@
-"""Every query with a SQL counterpart gives the same result; the others run."""
+"""Every query with a SQL counterpart gives the same result."""
 
 import sys
 from pathlib import Path
