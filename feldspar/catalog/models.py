@@ -123,7 +123,7 @@ def _binary_boost_sql(k: int) -> str:
     parts = " UNION ALL ".join(
         f"""SELECT {f} AS f, fold = {f} AS held, y, x FROM t""" for f in range(k)
     )
-    return f"""WITH t AS (SELECT c_custkey, target AS y, CASE WHEN region < 2 THEN 1 ELSE 0 END AS x, is_train, {md5_fold('c_custkey', k)} AS fold FROM ({CLAIMS})),
+    return f"""WITH t AS (SELECT c_custkey, target AS y, CASE WHEN balance > 3000 THEN 1 ELSE 0 END AS x, is_train, {md5_fold('c_custkey', k)} AS fold FROM ({CLAIMS})),
 r AS (SELECT y, x FROM t WHERE is_train = 1), p AS (SELECT * FROM ({parts.replace('FROM t', 'FROM t WHERE is_train = 1')})),
 d AS (SELECT f, {rate.format(w='', sign='>')} AS up, {rate.format(w='', sign='<')} AS down FROM p WHERE NOT held GROUP BY f),
 s AS (SELECT p.f, held, {area.format(up='any_value(up)', down='any_value(down)')} AS auc FROM p JOIN d ON d.f = p.f GROUP BY p.f, held),
@@ -136,7 +136,7 @@ SELECT 'auc' AS metric, CAST(1 AS INT) AS rounds, avg(auc) FILTER (WHERE NOT hel
 
 @query("boosted_fit_cv_binary", _binary_boost_sql(5), rounds=["train_mean", "train_std", "test_mean", "test_std", "train", "test"])
 def _(spark, d):
-    df = claims(spark, d).withColumn("x", (F.col("region") < 2).cast("int"))
+    df = claims(spark, d).withColumn("x", (F.col("balance") > 3000).cast("int"))
     return bo.boosted_fit_cv(df, ["x"], "target", GBTClassifier(maxIter=4, maxDepth=1, seed=27), "c_custkey", patience=2)[0]
 
 
@@ -254,6 +254,47 @@ def _(spark, d):
     return out.select("c_custkey", *new)
 
 
+@query(
+    "validate_models_binary",
+    f"""WITH t AS (SELECT x, target AS y, is_train FROM ({TWO})), w AS (SELECT {_UP} FROM t WHERE is_train = 1)
+SELECT 'lr' AS model, CASE is_train WHEN 1 THEN 'train' ELSE 'test' END AS split, 2 * ({_AREA}) - 1 AS gini FROM t, w GROUP BY is_train""",
+    rounds=["gini"],
+)
+def _(spark, d):
+    return ln.validate_models(_two(spark, d), ["x"], "target", {"lr": ln.logistic(max_iter=50)})[0]
+
+
+@query(
+    "validate_regression_line",
+    f"""WITH t AS (SELECT balance AS y, region::DOUBLE AS x, is_train FROM ({CLAIMS})),
+w AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM t WHERE is_train = 1)
+SELECT is_train, avg(abs(y - a * x - b)) AS mae FROM t, w GROUP BY is_train""",
+    rounds=["mae"],
+)
+def _(spark, d):
+    df = claims(spark, d).withColumn("x", F.col("region").cast("double"))
+    return ln.validate_regression(df, ["x"], "balance", LinearRegression(solver="normal"))[1]
+
+
+def _tree_sql() -> str:
+    """Trees over one 0/1 input rank rows by it: its higher rate of the target comes first."""
+    rows = f"SELECT CASE WHEN balance > 3000 THEN 1 ELSE 0 END AS x, target AS y, is_train FROM ({CLAIMS})"
+    return f"""WITH t AS ({rows}), w AS (SELECT {_UP} FROM t WHERE is_train = 1), a AS (SELECT is_train, {_AREA} AS auc FROM t, w GROUP BY is_train)
+SELECT 'target' AS target, max(auc) FILTER (WHERE is_train = 1) AS auc_trn, max(auc) FILTER (WHERE is_train = 0) AS auc_tst FROM a"""
+
+
+@query("random_forest_classif_binary", _tree_sql(), rounds=["auc_trn", "auc_tst"])
+def _(spark, d):
+    df = claims(spark, d).withColumn("x", (F.col("balance") > 3000).cast("int"))
+    return ln.validate_multilabel(ln.balanced_weight(df, "target"), ["x"], ["target"], ln.random_forest(weight="weight"))[0]
+
+
+@query("gbm_classif_binary", _tree_sql(), rounds=["auc_trn", "auc_tst"])
+def _(spark, d):
+    df = claims(spark, d).withColumn("x", (F.col("balance") > 3000).cast("int"))
+    return ln.validate_multilabel(df, ["x"], ["target"], ln.gradient_boosting(trees=10, depth=1))[0]
+
+
 @query("cross_val_auc")
 def _(spark, d):
     return ln.cross_val_auc(_numbers(spark, d), NUMBERS, ["toxic", "quality"], "doc_id", max_iter=10)
