@@ -218,17 +218,18 @@ def _(spark, d):
 
 
 PAIRED = f"""SELECT c_custkey, coalesce(seg_cat, 'nan') || '-' || coalesce(nation_cat, 'nan') AS a,
-  coalesce(seg_cat, 'nan') || '-' || coalesce(CAST(region AS VARCHAR), 'nan') AS b FROM ({CLAIMS})"""
+  coalesce(seg_cat, 'nan') || '-' || coalesce(CAST(region AS VARCHAR), 'nan') AS b,
+  coalesce(nation_cat, 'nan') || '-' || coalesce(CAST(region AS VARCHAR), 'nan') AS c FROM ({CLAIMS})"""
 
 
 @query(
     "interaction_codes",
-    f"""SELECT p.c_custkey, x.x AS "seg_cat-nation_cat", y.y AS "seg_cat-region" FROM ({PAIRED}) p
-JOIN {_codes("a", "x", PAIRED)} x ON x.v = p.a JOIN {_codes("b", "y", PAIRED)} y ON y.v = p.b""",
+    f"""SELECT p.c_custkey, x.x AS "seg_cat-nation_cat", y.y AS "seg_cat-region", z.z AS "nation_cat-region" FROM ({PAIRED}) p
+JOIN {_codes("a", "x", PAIRED)} x ON x.v = p.a JOIN {_codes("b", "y", PAIRED)} y ON y.v = p.b JOIN {_codes("c", "z", PAIRED)} z ON z.v = p.c""",
 )
 def _(spark, d):
-    out, _new = en.interaction_codes(claims(spark, d), ["seg_cat", "nation_cat", "region"])
-    return out.select("c_custkey", "seg_cat-nation_cat", "seg_cat-region")
+    out, new = en.interaction_codes(claims(spark, d), ["seg_cat", "nation_cat", "region"])
+    return out.select("c_custkey", *new)
 
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]

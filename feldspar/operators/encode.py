@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from feldspar.functions.numeric import hash_fold, multiplicative_noise
 from feldspar.operators.profile import TRAIN, q
 from feldspar.operators.splits import contiguous_blocks
+from feldspar.plans.dictionary import VALUE, attach_codes, count_values
 from feldspar.plans.lookup import lookup_join
-from feldspar.plans.ordering import POSITION, with_position
 from feldspar.plans.percolumn import tables_by_column
 from feldspar.plans.storage import materialize
 
@@ -196,63 +196,57 @@ def encode_flags(
     return out, [oof_name, smooth_name]
 
 
-def _coded(df: DataFrame, value: Column, order: list[Column] | None, name: str) -> DataFrame:
-    """Attach a 0-based code of a non-null value: its rank among the distinct values (or by first appearance)."""
-    keyed = df.withColumn("__value", value)
-    if order is None:
-        table = keyed.filter("__value is not null").groupBy("__value").agg(F.count(F.lit(1)).alias("__n"))
-        placed = with_position(table, [F.col("__value")])
-    else:
-        table = keyed.groupBy("__value").agg(F.count(F.lit(1)).alias("__n"), F.min(F.struct(*order)).alias("__first"))
-        placed = with_position(table, [F.col("__first")]).drop("__first")
-    codes = placed.withColumnRenamed(POSITION, name)
-    return lookup_join(keyed, codes, ["__value"], weight="__n", null_safe=False).drop("__value", "__n")
-
-
 def category_codes(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Code in sorted order of the distinct values over train and test; null is -1."""
-    for c in columns:
-        df = _coded(df, q(c), None, f"{c}_cat").withColumn(f"{c}_cat", F.coalesce(q(f"{c}_cat"), F.lit(-1)).cast("int"))
-    return df, [f"{c}_cat" for c in columns]
+    """Code in sorted order of the distinct values over train and test; null is -1. One scan serves all columns."""
+    new = {f"{c}_cat": q(c) for c in columns}
+    out, _ = attach_codes(df, new)
+    return out.withColumns({n: F.coalesce(q(n), F.lit(-1)).cast("int") for n in new}), list(new)
 
 
 def interaction_codes(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Sorted code of ``str(a)-str(b)`` for each column pair; null becomes ``nan``."""
-    new = []
-    for a, b in combinations(columns, 2):
-        text = F.concat_ws("-", *[F.coalesce(q(c).cast("string"), F.lit("nan")) for c in (a, b)])
-        name = f"{a}-{b}"
-        df = _coded(df, text, None, name).withColumn(name, q(name).cast("int"))
-        new.append(name)
-    return df, new
+    """Sorted code of ``str(a)-str(b)`` for each column pair; null becomes ``nan``. One scan serves all pairs."""
+    texts = {c: F.coalesce(q(c).cast("string"), F.lit("nan")) for c in columns}
+    new = {f"{a}-{b}": F.concat_ws("-", texts[a], texts[b]) for a, b in combinations(columns, 2)}
+    out, _ = attach_codes(df, new)
+    return out.withColumns({n: q(n).cast("int") for n in new}), list(new)
+
 
+def one_hot(df: DataFrame, columns: Sequence[str], widest: int = 4096) -> tuple[DataFrame, list[str]]:
+    """Indicator column per value plus one for null.
 
-def one_hot(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Indicator column per value plus one for null; ``one_hot_long`` holds as many values without columns of their own."""
+    A column with more than ``widest`` values gets one column ``<c>_hot`` instead, the name of its indicator that is 1;
+    ``one_hot_long`` gives the same as rows. One scan counts the values of all columns.
+    """
+    if not columns:
+        return df, []
+    counted = count_values(df, {c: q(c) for c in columns})
+    figures = counted.figures()
     new = {}
     for c in columns:
-        values = df.select(q(c)).filter(q(c).isNotNull()).distinct().collect()  # one row per new column
-        for v in sorted(r[0] for r in values):
+        if c in figures and figures[c]["values"] > widest:
+            new[f"{c}_hot"] = _indicator(c)
+            continue
+        for v in sorted(r[0] for r in counted.of(c).select(VALUE).collect()):  # at most ``widest``
             new[f"{c}_{v}"] = q(c).eqNullSafe(F.lit(v)).cast("int")
         new[f"{c}_nan"] = q(c).isNull().cast("int")
     return df.withColumns(new), list(new)
 
 
+def _indicator(c: str) -> Column:
+    return F.concat(F.lit(f"{c}_"), F.coalesce(q(c).cast("string"), F.lit("nan")))
+
+
 def one_hot_long(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """(key, feature): the indicators of every row that are 1, for columns with more values than a schema can hold."""
-    names = [F.concat(F.lit(f"{c}_"), F.coalesce(q(c).cast("string"), F.lit("nan"))) for c in columns]
-    return df.select(q(key), F.explode(F.array(*names)).alias("feature"))
+    return df.select(q(key), F.explode(F.array(*[_indicator(c) for c in columns])).alias("feature"))
 
 
 def binary_encode(df: DataFrame, columns: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """Bits (most significant first) of the value's index by first appearance over train, then test rows."""
-    new = []
-    for c in columns:
-        text = F.coalesce(q(c).cast("string"), F.lit("nan"))
-        df = _coded(df, text, [F.lit(1) - q(TRAIN), *[q(o) for o in order]], "__code")
-        top = df.agg(F.max("__code")).first()[0] or 0
-        bits = max(int(top).bit_length(), 1)
-        made = {f"{c}_b{i}": F.shiftright(F.col("__code"), bits - 1 - i).bitwiseAND(F.lit(1).cast("long")).cast("int") for i in range(bits)}
-        df = df.withColumns(made).drop("__code")
-        new += list(made)
-    return df, new
+    texts = {f"__code{i}": F.coalesce(q(c).cast("string"), F.lit("nan")) for i, c in enumerate(columns)}
+    out, sizes = attach_codes(df, texts, [F.lit(1) - q(TRAIN), *[q(o) for o in order]])
+    new = {}
+    for c, code in zip(columns, texts):
+        bits = max((sizes[code] - 1).bit_length(), 1)
+        new |= {f"{c}_b{i}": F.shiftright(q(code), bits - 1 - i).bitwiseAND(F.lit(1).cast("long")).cast("int") for i in range(bits)}
+    return out.withColumns(new).drop(*texts), list(new)

@@ -44,12 +44,13 @@ def lookup_join(
     weight: str,
     null_safe: bool = True,
     stored: bool = False,
+    size: int | None = None,
 ) -> DataFrame:
     """Attach every non-key column of ``table`` to ``rows`` (left join).
 
     ``table`` holds one row per key; ``weight`` names its column with the number of rows of that key.
     ``keys`` is a list of shared names or a map from row column to table column. ``stored`` says that the
-    table is already materialised.
+    table is already materialised, ``size`` gives its bytes where they were measured before.
     """
     pairs = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
     if not stored:
@@ -64,7 +65,7 @@ def lookup_join(
     on = _condition(rows, pairs, null_safe)
 
     limit = int(rows.sparkSession.conf.get(MAX_BYTES_CONF, str(MAX_BYTES)))
-    if table_bytes(table) <= limit:
+    if (table_bytes(table) if size is None else size) <= limit:
         joined = rows.join(F.broadcast(renamed), on, "left")
         return joined.select(*kept, *[F.col(f"__p{i}").alias(c) for i, c in enumerate(payload)])
     return _spread_join(rows, renamed, pairs, on, payload, payload.index(weight), null_safe)
