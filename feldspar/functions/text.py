@@ -70,3 +70,15 @@ def char_ngrams(text: Column, low: int, high: int) -> Column:
 
     # transform() over a one-element array binds the characters, so they are not computed again per n-gram.
     return F.flatten(F.transform(F.array(chars), lambda c: F.flatten(F.array(*[of_size(c, n) for n in range(low, high + 1)]))))
+
+
+def counted(terms: Column) -> Column:
+    """array<struct<term, tf>>: the distinct terms of an array and how often each occurs, by runs of the sorted array."""
+
+    def runs(s: Column) -> Column:
+        places = F.when(F.size(s) > 0, F.sequence(F.lit(0), F.size(s) - 1)).otherwise(F.array().cast("array<int>"))
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return F.transform(F.array(starts), lambda a: F.transform(a, lambda i, j: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(a, j + 1), F.size(s)) - i).cast("long").alias("tf"))))[0]
+
+    # transform() over a one-element array binds what is used more than once.
+    return F.transform(F.array(F.sort_array(F.coalesce(terms, F.array().cast("array<string>")))), runs)[0]

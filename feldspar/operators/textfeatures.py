@@ -1,7 +1,10 @@
 """TF-IDF in long form (key, term, weight), chi-square terms, bag of words.
 
-Documents are shuffled once by key; token counts, weights and the L2 norm of a document then need no further
-exchange. The vocabulary is written once (at most ``max_features`` rows, or measured before it is broadcast).
+Texts are not shuffled: the terms of a document are counted inside its row, so the vocabulary's aggregate starts from
+one row per (document, term) and combines them before its exchange. A vocabulary of at most ``max_features`` terms is a
+fitted count model; weights and the L2 norm are computed inside the row as well. Without that bound the vocabulary is
+measured before it is broadcast, and the counted rows join it. Terms are formed twice, once for the vocabulary and once
+for the weights: written counts of n-grams would take many times the bytes of the text.
 """
 
 from __future__ import annotations
@@ -9,8 +12,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StopWordsRemover
-from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, StopWordsRemover
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +22,7 @@ from feldspar.functions import text as tx
 from feldspar.operators.profile import TRAIN, q
 from feldspar.plans.lookup import lookup_join
 from feldspar.plans.ordering import POSITION, group_positions, with_position
-from feldspar.plans.spread import spread
+from feldspar.plans.spread import spread_scan
 from feldspar.plans.storage import materialize
 
 
@@ -57,23 +60,27 @@ def char_analyzer(low: int = 2, high: int = 6, max_features: int | None = 50_000
     return Analyzer(lambda c: tx.char_ngrams(c, low, high), True, (), True, 1, max_features, True)
 
 
-def term_counts(df: DataFrame, key: str, text: str, a: Analyzer) -> DataFrame:
-    """(key, is_train, term, tf). The shuffle by key carries the text once; counting is local after it."""
-    docs = spread(df.select(q(key), q(TRAIN), q(text).alias("__text")), key)
-    body = F.lower(F.col("__text"))
+def document_terms(df: DataFrame, key: str, text: str, a: Analyzer) -> DataFrame:
+    """(key, is_train, __terms): the array of a document's terms, empty for a null text."""
+    body = F.lower(q(text))
     body = tx.strip_accents(body) if a.strip_accents else body
-    terms = docs.select(q(key), q(TRAIN), F.explode(a.terms(body)).alias("term"))
+    terms = F.coalesce(a.terms(body), F.array().cast("array<string>"))
     if a.stop_words:
-        terms = terms.filter(~F.col("term").isin(*a.stop_words))
-    return terms.groupBy(key, TRAIN, "term").agg(F.count(F.lit(1)).alias("tf"))
+        terms = F.filter(terms, lambda t: ~t.isin(*a.stop_words))
+    return spread_scan(df.select(q(key), q(TRAIN), q(text))).select(q(key), q(TRAIN), terms.alias("__terms"))
+
+
+def term_counts(docs: DataFrame) -> DataFrame:
+    """Every column of ``docs`` but the terms, with a row (term, tf) per distinct term of a document."""
+    others = [q(c) for c in docs.columns if c != "__terms"]
+    return docs.select(*others, F.inline(tx.counted(F.col("__terms"))))
 
 
 def vocabulary(df: DataFrame, counts: DataFrame, a: Analyzer) -> DataFrame:
-    """(term, total_tf, df, idf): enough documents, then the most frequent terms (ties by term)."""
-    fit = counts if a.fit_on_test else counts.filter(q(TRAIN) == 1)
+    """(term, total_tf, df, idf) of the counted rows that are fitted on: enough documents, then the most frequent terms (ties by term)."""
     docs = df if a.fit_on_test else df.filter(q(TRAIN) == 1)
     n = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
-    table = fit.groupBy("term").agg(F.sum("tf").alias("total_tf"), F.count(F.lit(1)).alias("df"))
+    table = counts.groupBy("term").agg(F.sum("tf").alias("total_tf"), F.count(F.lit(1)).alias("df"))
     least = F.lit(a.min_df) * n if isinstance(a.min_df, float) else F.lit(a.min_df)
     table = table.filter(F.col("df") >= least)
     if a.max_features is not None:
@@ -83,19 +90,35 @@ def vocabulary(df: DataFrame, counts: DataFrame, a: Analyzer) -> DataFrame:
 
 def tfidf(df: DataFrame, key: str, text: str, a: Analyzer) -> tuple[DataFrame, DataFrame]:
     """Long (key, is_train, term, weight) with L2-normalised weights, and the vocabulary."""
-    counts = term_counts(df, key, text, a)
-    vocab = materialize(vocabulary(df, counts, a))
+    docs = document_terms(df, key, text, a)
+    vocab = materialize(vocabulary(df, term_counts(docs.filter(q(TRAIN) == 1) if not a.fit_on_test else docs), a))
     if a.max_features is not None:
-        rows = counts.join(F.broadcast(vocab.select("term", "idf")), "term")  # at most max_features rows
-    else:
-        rows = lookup_join(counts, vocab.select("term", "df", "idf"), ["term"], weight="df", null_safe=False, stored=True)
-        rows = rows.filter(F.col("idf").isNotNull())
+        return _weights_in_row(docs, vocab, key, a), vocab
+    rows = lookup_join(term_counts(docs), vocab.select("term", "df", "idf"), ["term"], weight="df", null_safe=False, stored=True)
+    rows = rows.filter(F.col("idf").isNotNull())
     tf = F.col("tf").cast("double")
     rows = rows.withColumn("__w", (F.lit(1.0) + F.log(tf) if a.sublinear else tf) * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(key)))
     return rows.select(key, TRAIN, "term", (F.col("__w") / norm).alias("weight")), vocab
 
 
+def _weights_in_row(docs: DataFrame, vocab: DataFrame, key: str, a: Analyzer) -> DataFrame:
+    """(key, is_train, term, weight): a count model over the vocabulary and its scaling by idf, no exchange of documents."""
+    known = sorted((r["term"], r["idf"]) for r in vocab.select("term", "idf").collect())  # max_features rows at most
+    if not known:
+        return docs.select(key, TRAIN, F.lit("").alias("term"), F.lit(0.0).alias("weight")).where("false")
+    counts = CountVectorizerModel.from_vocabulary([t for t, _ in known], inputCol="__terms", outputCol="__tf")
+    scale = ElementwiseProduct(scalingVec=Vectors.dense([w for _, w in known]), inputCol="__tf", outputCol="__tfidf")
+    vectors = scale.transform(counts.transform(docs))
+    held = vectors.select(key, TRAIN, F.unwrap_udt("__tf").alias("t"), F.unwrap_udt("__tfidf")["values"].alias("w"))
+    weight = F.transform("w", lambda w, i: w * (F.lit(1.0) + F.log(F.get("t.values", i))) / F.get("t.values", i)) if a.sublinear else F.col("w")
+    held = held.select(key, TRAIN, F.col("t.indices").alias("at"), weight.alias("w"))
+    norm = F.sqrt(F.aggregate("w", F.lit(0.0), lambda s, w: s + w * w))
+    cells = held.withColumn("norm", norm).select(key, TRAIN, "norm", F.inline(F.arrays_zip("at", "w")))
+    names = docs.sparkSession.createDataFrame([(i, t) for i, (t, _) in enumerate(known)], "at int, term string")
+    return cells.join(F.broadcast(names), "at").select(key, TRAIN, "term", (F.col("w") / F.col("norm")).alias("weight"))
+
+
 def wide_terms(df: DataFrame, long: DataFrame, key: str, terms: Sequence[str], postfix: str = "") -> tuple[DataFrame, list[str]]:
     """One column ``<term>_tfidf<postfix>`` per listed term, 0 where the document lacks it."""
     names = [f"{t}_tfidf{postfix}" for t in terms]

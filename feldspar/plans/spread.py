@@ -13,3 +13,13 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *columns)
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Deal rows out where their files are too few and too small to give every core a part; large inputs stay in place.
+
+    A scan cuts files of more than ``spark.sql.files.maxPartitionBytes``, so inputs with more files, or more bytes, than
+    the cluster has cores are spread already.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
