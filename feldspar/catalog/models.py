@@ -373,7 +373,7 @@ def _(spark, d):
 @query("min_df_sweep")
 def _(spark, d):
     df = comments(spark, d).filter("toxic is not null").withColumn("is_train", (hash_fold(F.col("doc_id"), 10) < 7).cast("int"))
-    return ln.min_df_sweep(df, "doc_id", "comment_text", "toxic", limits=(0.4, 0.1, 0.01))
+    return ln.min_df_sweep(df, "doc_id", "comment_text", "toxic")
 
 
 @query("permutation_importance")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, StopWordsRemover
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,14 +60,15 @@ def char_analyzer(low: int = 2, high: int = 6, max_features: int | None = 50_000
     return Analyzer(lambda c: tx.char_ngrams(c, low, high), True, (), True, 1, max_features, True)
 
 
-def document_terms(df: DataFrame, key: str, text: str, a: Analyzer) -> DataFrame:
-    """(key, is_train, __terms): the array of a document's terms, empty for a null text."""
+def document_terms(df: DataFrame, key: str, text: str, a: Analyzer, keep: Sequence[str] = ()) -> DataFrame:
+    """(key, is_train, columns to keep, __terms): the array of a document's terms, empty for a null text."""
     body = F.lower(q(text))
     body = tx.strip_accents(body) if a.strip_accents else body
     terms = F.coalesce(a.terms(body), F.array().cast("array<string>"))
     if a.stop_words:
         terms = F.filter(terms, lambda t: ~t.isin(*a.stop_words))
-    return spread_scan(df.select(q(key), q(TRAIN), q(text))).select(q(key), q(TRAIN), terms.alias("__terms"))
+    others = [q(c) for c in (key, TRAIN, *keep)]
+    return spread_scan(df.select(*others, q(text))).select(*others, terms.alias("__terms"))
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -102,14 +103,31 @@ def tfidf(df: DataFrame, key: str, text: str, a: Analyzer) -> tuple[DataFrame, D
     return rows.select(key, TRAIN, "term", (F.col("__w") / norm).alias("weight")), vocab
 
 
+def best_terms(table: DataFrame, most: int) -> list[tuple[str, float]]:
+    """The ``most`` most frequent (term, idf) of a vocabulary (ties by term), in the order of the terms."""
+    best = table.orderBy(F.desc("total_tf"), "term").limit(most).select("term", "idf").collect()
+    return sorted((r["term"], r["idf"]) for r in best)
+
+
+def _scaled(docs: DataFrame, known: Sequence[tuple[str, float]], tf: str, out: str) -> DataFrame:
+    counts = CountVectorizerModel.from_vocabulary([t for t, _ in known], inputCol="__terms", outputCol=tf)
+    scale = ElementwiseProduct(scalingVec=Vectors.dense([w for _, w in known]), inputCol=tf, outputCol=out)
+    return scale.transform(counts.transform(docs))
+
+
+def with_vectors(docs: DataFrame, known: Sequence[tuple[str, float]], name: str) -> DataFrame:
+    """``docs`` with the L2-normalised counts times idf of the known terms as a sparse vector, formed inside the row."""
+    known = known or [("", 1.0)]  # a vector has one place at least; no word is empty
+    scaled = _scaled(docs, known, "__tf", "__tfidf")
+    return Normalizer(p=2.0, inputCol="__tfidf", outputCol=name).transform(scaled).drop("__tf", "__tfidf")
+
+
 def _weights_in_row(docs: DataFrame, vocab: DataFrame, key: str, a: Analyzer) -> DataFrame:
     """(key, is_train, term, weight): a count model over the vocabulary and its scaling by idf, no exchange of documents."""
     known = sorted((r["term"], r["idf"]) for r in vocab.select("term", "idf").collect())  # max_features rows at most
     if not known:
         return docs.select(key, TRAIN, F.lit("").alias("term"), F.lit(0.0).alias("weight")).where("false")
-    counts = CountVectorizerModel.from_vocabulary([t for t, _ in known], inputCol="__terms", outputCol="__tf")
-    scale = ElementwiseProduct(scalingVec=Vectors.dense([w for _, w in known]), inputCol="__tf", outputCol="__tfidf")
-    vectors = scale.transform(counts.transform(docs))
+    vectors = _scaled(docs, known, "__tf", "__tfidf")
     held = vectors.select(key, TRAIN, F.unwrap_udt("__tf").alias("t"), F.unwrap_udt("__tfidf")["values"].alias("w"))
     weight = F.transform("w", lambda w, i: w * (F.lit(1.0) + F.log(F.get("t.values", i))) / F.get("t.values", i)) if a.sublinear else F.col("w")
     held = held.select(key, TRAIN, F.col("t.indices").alias("at"), weight.alias("w"))

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feldspar.functions import text as tx
+from feldspar.operators import learn as ln
 from feldspar.operators import textfeatures as tf
 
 
@@ -56,3 +57,28 @@ def test_documents_are_not_shuffled(spark, capsys):
     long.explain()
     plan = capsys.readouterr().out
     assert "hashpartitioning" not in plan and "Window" not in plan
+
+
+def test_vectors_hold_the_weights(spark):
+    df = spark.createDataFrame([(i, int(i % 3 > 0), " ".join(f"w{(i * j) % 7}" for j in range(i))) for i in range(15)], "k int, is_train int, body string")
+    a = tf.word_analyzer(min_df=2, max_features=5)
+    long, vocab = tf.tfidf(df, "k", "body", a)
+    known = tf.best_terms(vocab, 5)
+    rows = tf.with_vectors(tf.document_terms(df, "k", "body", a), known, "x").select("k", "x").collect()
+    got = {(r["k"], known[i][0]): w for r in rows for i, w in zip(r["x"].indices.tolist(), r["x"].values.tolist())}
+    want = {(r["k"], r["term"]): r["weight"] for r in long.collect()}
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-12 for x in want)
+
+
+def test_sweep_equals_a_fit_per_limit(spark):
+    df = spark.createDataFrame([(i, int(i % 4 > 0), i % 2, f"w{i % 2} w{i % 3} w{i % 5} x{i}") for i in range(60)], "k int, is_train int, y int, body string")
+    limits = (1.0, 0.3, 0.01)
+    got = {r["mdf"]: (r["tpr"], r["fpr"]) for r in ln.min_df_sweep(df, "k", "body", "y", limits, max_features=20).collect()}
+    assert set(got) == set(limits)
+    for limit in limits[1:]:
+        assert got[limit] == [(r["tpr"], r["fpr"]) for r in ln.min_df_sweep(df, "k", "body", "y", (limit,), max_features=20).collect()][0]
+    block = tf.tfidf(df, "k", "body", tf.word_analyzer(min_df=0.3, max_features=20))
+    train, test = ln.split(ln.document_vectors(df.drop("body"), "k", [block]))
+    scored = ln.for_label(ln.logistic(1.0, train.count()), "y").fit(train).transform(test)
+    hit = scored.agg(ln.me.positive_hit_rate("y", "prediction"), ln.me.false_discovery_rate("y", "prediction")).first()
+    assert got[0.3] == tuple(hit)
