@@ -5,10 +5,11 @@ subsequences are all triples of its characters, in order, within WINDOW places;
 place skipped. The kernel of two spans is the cosine of their weighted triples, so inserted characters and gaps lower
 it without breaking it. Landmarks are spans that occur in toxic documents far more than in clean ones, and frequent
 clean spans; a span's Nyström coordinates are its kernel values to the landmarks, whitened by the landmarks' own kernel
-matrix. A linear support vector machine (Spark ML) is trained on those coordinates of labelled sentences: of every
-training document, the sentence that the machine of the round before finds worst, represented by its worst span and
-labelled like the document (in the first round: the spans told apart by counts, and the same with signs put inside). The sentences of clean documents that
-look worst also become landmarks. The decision function is a sum over landmarks, so it
+matrix. A linear support vector machine (Spark ML) is trained on those coordinates of single spans; sentences are not
+formed. A training document is represented by the one span that the machine of the round before finds worst, labelled
+like the document (in the first round: the spans told apart by counts, and the same with signs put inside). The worst
+spans of clean documents also become landmarks. So a phrase of words that are harmless alone is not learnt, nor an insult
+with a blank inside or glued into a longer word. The decision function is a sum over landmarks, so it
 collapses into one weight per triple; scoring a whole text is a look-up per distinct span, and the document's score is
 that of its worst span, squashed so that the training documents are fitted best.
 
