@@ -16,10 +16,10 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def spread_scan(df: DataFrame) -> DataFrame:
-    """Deal rows out where their files are too few and too small to give every core a part; large inputs stay in place.
+    """Deal the rows of inputs with fewer files than cores out to all cores; inputs of more files stay in place.
 
-    A scan cuts files of more than ``spark.sql.files.maxPartitionBytes``, so inputs with more files, or more bytes, than
-    the cluster has cores are spread already.
+    Only files are counted, not bytes: an input of few very large files is shuffled as well, although a scan would cut
+    them. The names of the files are listed on the driver.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
