@@ -1,13 +1,13 @@
-"""Text expressions. Only accent handling needs Python (Unicode decomposition is not built in)."""
+"""Text expressions, all evaluated by Spark: no text goes through Python workers."""
 
 from __future__ import annotations
 
+import sys
 import unicodedata
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Token patterns, with letter and digit classes spelled out.
 WORD_WITH_LETTER = r"[\p{L}\p{N}_]*[a-zA-Z][\p{L}\p{N}_]*"
@@ -22,22 +22,24 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.translate(text, SEPARATORS, " " * len(SEPARATORS)), F.lit(r"\S+"))
 
 
-@F.pandas_udf(T.StringType())
-def strip_accents(text: pd.Series) -> pd.Series:
-    """Decompose (NFKD) and drop combining marks."""
-    return text.map(
-        lambda s: s
-        if s is None or s.isascii()
-        else "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
-    )
+# Fixed value: every character with a combining class.
+COMBINING = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.combining(c))
 
 
-@F.pandas_udf(T.StringType())
-def ascii_fold(text: pd.Series) -> pd.Series:
+def _when_not_ascii(text: Column, reduced: Callable[[Column], Column]) -> Column:
+    """``reduced`` of the text's NFKD form, by the ICU library in Spark's class path. ASCII text, a byte per character, stays as it is."""
+    nfkd = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), F.coalesce(text, F.lit("")), F.lit(True))
+    return F.when(F.octet_length(text) > F.char_length(text), reduced(nfkd)).otherwise(text)
+
+
+def strip_accents(text: Column) -> Column:
+    """Decompose (NFKD) and drop combining marks (without a regular expression, which would slow those that find the words)."""
+    return _when_not_ascii(text, lambda t: F.translate(t, COMBINING, ""))
+
+
+def ascii_fold(text: Column) -> Column:
     """Decompose (NFKD) and drop everything outside ASCII."""
-    return text.map(
-        lambda s: s if s is None or s.isascii() else unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode()
-    )
+    return _when_not_ascii(text, lambda t: F.regexp_replace(t, r"[^\x00-\x7F]+", ""))
 
 
 def normalize(text: Column) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import sys
+import unicodedata
 from collections import Counter
 
 import pytest
@@ -82,3 +84,17 @@ def test_sweep_equals_a_fit_per_limit(spark):
     scored = ln.for_label(ln.logistic(1.0, train.count()), "y").fit(train).transform(test)
     hit = scored.agg(ln.me.positive_hit_rate("y", "prediction"), ln.me.false_discovery_rate("y", "prediction")).first()
     assert got[0.3] == tuple(hit)
+
+
+def test_accents_of_every_character_without_python_workers(spark, capsys):
+    every = [c for c in map(chr, range(1, sys.maxunicode + 1)) if unicodedata.category(c) not in ("Cn", "Cs")]
+    texts = ["".join(every[i : i + 1000]) for i in range(0, len(every), 1000)] + ["plain", "", "e\u0301\u0323x\u00e7", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    out = df.select("i", tx.strip_accents(F.col("t")).alias("s"), tx.ascii_fold(F.col("t")).alias("a"))
+    got = {r["i"]: (r["s"], r["a"]) for r in out.collect()}
+    for i, t in enumerate(texts):
+        nfkd = unicodedata.normalize("NFKD", t or "")
+        want = ("".join(c for c in nfkd if not unicodedata.combining(c)), nfkd.encode("ascii", "ignore").decode())
+        assert got[i] == ((None, None) if t is None else want)
+    out.explain()
+    assert "Python" not in capsys.readouterr().out
