@@ -10,6 +10,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from feldspar.functions import ngrams as ng
 from feldspar.functions import text as tx
 from feldspar.operators import learn as ln
 from feldspar.operators import textfeatures as tf
@@ -98,3 +99,44 @@ def test_accents_of_every_character_without_python_workers(spark, capsys):
         assert got[i] == ((None, None) if t is None else want)
     out.explain()
     assert "Python" not in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("piece", [1 << 18, 7, 1])
+def test_ngrams_as_numbers_equal_the_expression(spark, monkeypatch, piece):
+    texts = ["aB  c", "x", "", None, "ñandú 😀😀a ß\t中文中文", "abababababab", "\u0000a\u0000a", "zz"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for low, high in ((1, 1), (2, 3), (2, 6), (3, 4)):
+        rows = df.select("i", tx.one_spaced(F.col("t")).alias("b"), F.coalesce(tx.char_ngrams(F.col("t"), low, high), F.array()).alias("g")).sort("i").collect()
+        want = Counter((r["i"], g) for r in rows for g in r["g"] if g)
+        monkeypatch.setattr(ng, "CHARS", piece)
+        got = Counter()
+        column = ng.pa.array([r["b"] for r in rows], ng.pa.string())
+        for a, b in ng.pieces(column):
+            for g in ng.grams(column[a:b].to_pylist(), low, high):
+                names = g.terms.to_pylist()
+                assert len(set(names)) == len(names)
+                got.update({(a + int(d), names[k]): int(c) for d, k, c in zip(g.document, g.gram, g.count)})
+        assert got == want
+
+
+def test_long_texts_are_sorted_by_reference(monkeypatch):
+    text = ["abcabd" * 5, "cab"]
+    want = [(g.terms.to_pylist(), g.document.tolist(), g.gram.tolist(), g.count.tolist()) for g in ng.grams(text, 2, 6)]
+    monkeypatch.setattr(ng, "_sorted_places", lambda p, last, at, _: _by_order(p, last, at))
+    assert want == [(g.terms.to_pylist(), g.document.tolist(), g.gram.tolist(), g.count.tolist()) for g in ng.grams(text, 2, 6)]
+
+
+def _by_order(prefix, last, at, whole=ng._sorted_places):
+    return whole(prefix, last, at, False)
+
+
+def test_char_blocks_form_no_array_of_ngrams(spark, capsys):
+    df = spark.range(50).select(F.col("id").alias("k"), F.lit(1).alias("is_train"), F.concat(F.lit("word and w"), F.col("id")).alias("body"))
+    a = tf.char_analyzer(2, 4, max_features=30)
+    long, vocab = tf.tfidf(df, "k", "body", a)
+    long.explain()
+    assert "transform(" not in capsys.readouterr().out
+    plain = tf.tfidf(df, "k", "body", tf.Analyzer(a.terms, True, (), True, 1, 30, True))
+    assert sorted(vocab.select("term", "total_tf", "df").collect()) == sorted(plain[1].select("term", "total_tf", "df").collect())
+    got, want = ({(r["k"], r["term"]): r["weight"] for r in x.collect()} for x in (long, plain[0]))
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-12 for x in want)
