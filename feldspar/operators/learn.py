@@ -93,6 +93,18 @@ def scaler_pipeline(estimator: Estimator) -> Pipeline:
     return Pipeline(stages=[scaler, estimator.copy({estimator.getParam("featuresCol"): "scaled"})])
 
 
+#: Rows times trees of a partition of a forest's input. The fit caches a count per row and tree.
+FOREST_CELLS = 20_000_000
+
+
+def in_parts(train: DataFrame, estimator: Estimator) -> DataFrame:
+    """The rows dealt to as many partitions as a forest's counts need; other estimators cache the rows alone and take them as they lie."""
+    if not estimator.hasParam("numTrees"):
+        return train
+    parts = -(-train.count() * estimator.getOrDefault("numTrees") // FOREST_CELLS)
+    return train.repartition(parts) if parts > 1 else train
+
+
 # ---- validation ----
 
 
@@ -108,7 +120,7 @@ def validate_multilabel(
     train, test = split(assemble(df, features))
     rows, reports = [], None
     for t in targets:
-        model = for_label(estimator, t).fit(train.filter(q(t).isNotNull()))
+        model = for_label(estimator, t).fit(in_parts(train.filter(q(t).isNotNull()), estimator))
         scored = {"train": model.transform(train), "test": model.transform(test)}
         rows.append((t, auc(scored["train"], t), auc(scored["test"], t)))
         for name, part in scored.items():
@@ -124,7 +136,7 @@ def validate_models(
     train, test = split(assemble(df, features))
     rows, reports = [], None
     for name, estimator in models.items():
-        model = for_label(estimator, label).fit(train)
+        model = for_label(estimator, label).fit(in_parts(train, estimator))
         for part_name, part in (("train", train), ("test", test)):
             scored = model.transform(part)
             rows.append((name, part_name, 2 * auc(scored, label) - 1))

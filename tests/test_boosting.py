@@ -91,3 +91,15 @@ def test_single_class_has_no_area(spark):
     got = {r["g"]: r["auc"] for r in me.roc_auc_by(df.filter("not (g = 0 and s = 0.5)"), ["g"], "s", "pos", "n").collect()}
     pairs = [(0.1, 0)] * 3 + [(0.9, 1)] * 2 + [(0.5, 1), (0.5, 0)]
     assert got[0] is None and got[1] == pytest.approx(auc(pairs))
+
+
+def test_forest_rows_are_dealt_out_by_their_counts_per_tree(rows, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    monkeypatch.setattr(learn, "FOREST_CELLS", 500, raising=False)
+    seen, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df: (seen.append((df.rdd.getNumPartitions(), df.count())), fit(self, df))[1])
+    one = rows.coalesce(1)
+    out = learn.validate_multilabel(one, ["a", "b", "c"], ["y"], learn.random_forest(10, 2))[0].first()
+    assert seen == [(6, 300)] and out["auc_trn"] > 0.8  # 300 train rows of 10 trees in parts of 500
+    assert learn.in_parts(one, GBTClassifier()).rdd.getNumPartitions() == 1
