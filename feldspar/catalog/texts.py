@@ -196,16 +196,12 @@ SELECT doc_id, coalesce(n_tokens, 0) AS n_tokens, coalesce(n_terms, 0) AS n_term
 )
 def _(spark, d):
     """Token and term numbers per document, read from its count vector over the terms of at least 5 % of documents."""
-    from pyspark.ml.feature import CountVectorizer
-    from pyspark.ml.functions import vector_to_array
-
     docs = table(spark, d, "documents").select("doc_id", F.split(F.lower("text"), " ").alias("tokens"))
-    model = CountVectorizer(inputCol="tokens", outputCol="counts", minDF=0.05, vocabSize=1 << 30).fit(docs)
-    counted = model.transform(docs).select("doc_id", vector_to_array("counts").alias("c"))
+    counted = tf.count_vectorize(docs, "tokens", 0.05, "counts").select("doc_id", F.unwrap_udt("counts")["values"].alias("c"))
     return counted.select(
         "doc_id",
         F.aggregate("c", F.lit(0.0), lambda a, x: a + x).cast("long").alias("n_tokens"),
-        F.size(F.filter("c", lambda x: x > 0)).cast("long").alias("n_terms"),
+        F.size("c").cast("long").alias("n_terms"),
     )
 
 

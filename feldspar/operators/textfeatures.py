@@ -174,6 +174,21 @@ def _scaled(docs: DataFrame, known: Sequence[tuple[str, float]], tf: str, out: s
     return scale.transform(counts.transform(docs))
 
 
+def count_vectorize(docs: DataFrame, terms: str, min_df: float, name: str) -> DataFrame:
+    """``docs`` with the counts of the terms of at least a share ``min_df`` of all rows, as a sparse vector; a null array has none.
+
+    The document frequencies are an aggregate: a CountVectorizer's own fit would hold the term arrays of all rows in memory.
+    The vocabulary, on the driver, has at most the mean number of distinct terms over ``min_df``.
+    """
+    docs = docs.withColumn(terms, F.coalesce(q(terms), F.array().cast("array<string>")))
+    each = docs.select(F.explode(F.array_distinct(q(terms))).alias("term"))
+    frequent = each.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= F.lit(min_df) * docs.count())
+    known = sorted(r["term"] for r in frequent.select("term").collect())
+    if not known:
+        known, docs = [""], docs.withColumn(terms, F.array().cast("array<string>"))  # a vector has one place at least
+    return CountVectorizerModel.from_vocabulary(known, inputCol=terms, outputCol=name).transform(docs)
+
+
 def with_vectors(docs: DataFrame, known: Sequence[tuple[str, float]], name: str) -> DataFrame:
     """``docs`` with the L2-normalised counts times idf of the known terms as a sparse vector, formed inside the row."""
     known = known or [("", 1.0)]  # a vector has one place at least; no word is empty

@@ -140,3 +140,25 @@ def test_char_blocks_form_no_array_of_ngrams(spark, capsys):
     assert sorted(vocab.select("term", "total_tf", "df").collect()) == sorted(plain[1].select("term", "total_tf", "df").collect())
     got, want = ({(r["k"], r["term"]): r["weight"] for r in x.collect()} for x in (long, plain[0]))
     assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-12 for x in want)
+
+
+def test_count_vectorize_caches_no_terms(spark, monkeypatch):
+    from pyspark.ml.feature import CountVectorizer
+
+    monkeypatch.setattr(CountVectorizer, "fit", lambda *_: pytest.fail("caches the term arrays of all rows"))
+    rows = [(1, ["a", "b", "a", ""]), (2, ["a", "c"]), (3, []), (4, None), (5, [""])]
+    df = spark.createDataFrame(rows, "i int, t array<string>")
+    got = {r["i"]: sorted(r["v"].values.tolist()) for r in tf.count_vectorize(df, "t", 0.4, "v").collect()}
+    assert got == {1: [1.0, 2.0], 2: [1.0], 3: [], 4: [], 5: [1.0]}  # "a" and "", in 2 of 5 rows
+    assert all(r["v"].numNonzeros() == 0 for r in tf.count_vectorize(df, "t", 0.9, "v").collect())
+
+
+def test_count_vectorize_query_does_not_fit(spark, monkeypatch, tmp_path):
+    from pyspark.ml.feature import CountVectorizer
+
+    from feldspar.catalog import load
+
+    monkeypatch.setattr(CountVectorizer, "fit", lambda *_: pytest.fail("caches the term arrays of all rows"))
+    spark.createDataFrame([(i, f"X x w{i % 2}") for i in range(10)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = load()[0]["count_vectorize"](spark, str(tmp_path)).collect()
+    assert {tuple(r[1:]) for r in rows} == {(3, 2)} and len(rows) == 10
