@@ -29,7 +29,7 @@ from feldspar.operators import textfeatures as tf
 from feldspar.operators.profile import TRAIN, q
 from feldspar.operators.splits import kfold_contiguous, time_series_split
 from feldspar.plans.ordering import POSITION, with_position
-from feldspar.plans.permute import in_blocks, permuted
+from feldspar.plans.permute import dealt, in_blocks, permuted
 from feldspar.plans.storage import materialize
 
 FEATURES = "features"
@@ -657,14 +657,18 @@ def _binomial_tail(hits: int, n: int) -> float:
     return sum(comb(n, i) for i in range(hits, n + 1)) / 2.0**n
 
 
-def with_shadows(placed: DataFrame, values: str, n: int, seed: int, name: str = "__shadow") -> DataFrame:
-    """Add an array like ``values`` in which every place is shuffled over the rows by a permutation of its own.
+def with_shadows(placed: DataFrame, values: str, n: int, seed: int, name: str = "__shadow", width: int | None = None) -> DataFrame:
+    """Add an array like ``values`` in which every place (``width`` of them) is shuffled over the rows by a permutation of its own.
 
     ``placed`` has ``__pos`` 0..n-1. Each value is sent to its new position; one shuffle brings the values of a position together.
     """
-    sent = placed.select(F.col(POSITION), F.posexplode(values).alias("__place", "__value"))
-    sent = sent.select(permuted(F.col(POSITION), n, F.lit(seed), F.col("__place")).alias("__to"), "__place", "__value")
-    met = sent.groupBy("__to").agg(F.sort_array(F.collect_list(F.struct("__place", "__value"))).alias("__met"))
+    if width is None:
+        width = placed.agg(F.max(F.size(values))).first()[0] or 0
+    own = [
+        F.struct(permuted(F.col(POSITION), n, F.lit(seed), F.lit(i)).alias("__to"), F.lit(i).alias("__place"), F.get(values, F.lit(i)).alias("__value"))
+        for i in range(width)
+    ]
+    met = placed.select(F.inline(F.array(*own))).groupBy("__to").agg(F.sort_array(F.collect_list(F.struct("__place", "__value"))).alias("__met"))
     return placed.join(met, F.col(POSITION) == F.col("__to")).withColumn(name, F.col("__met.__value")).drop("__to", "__met")
 
 
@@ -681,9 +685,10 @@ def boruta_select(
     inputs = F.array(*[q(c).cast("double") for c in columns]).alias("__own")
     placed = materialize(with_position(df.select(q(key), q(label).cast("double").alias("__y"), inputs), [q(key)]).drop(key))
     n = placed.count()
+    placed = materialize(dealt(placed, n * len(columns)))
     own = for_label(forest, "__y").copy({forest.getParam("featuresCol"): "__both"})
     for r in range(rounds):
-        both = with_shadows(placed, "__own", n, r).withColumn("__both", array_to_vector(F.concat("__own", "__shadow")))
+        both = with_shadows(placed, "__own", n, r, width=len(columns)).withColumn("__both", array_to_vector(F.concat("__own", "__shadow")))
         ready = materialize(in_blocks(both.select("__both", "__y", POSITION), n))
         values = own.copy({own.seed: r}).fit(ready).featureImportances
         best_shadow = max(float(values[len(columns) + i]) for i in range(len(columns)))

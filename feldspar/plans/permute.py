@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from feldspar.plans.ordering import POSITION
 
 #: Rows of a partition of ``in_blocks``.
-BLOCK_ROWS = 1_000_000
+BLOCK_ROWS = 100_000
+#: Positions that a task of ``dealt`` permutes; each costs some microseconds and few bytes.
+MOVED = 25_000
 
 
 def permuted(position: Column, n: int, *key: Column) -> Column:
@@ -19,13 +21,20 @@ def permuted(position: Column, n: int, *key: Column) -> Column:
     """
     size = F.lit(n).cast("long")
     rounds = max(32, 4 * n.bit_length())
+    # With a literal key the optimizer folds this array, so that a row does not work out the sums of all pairs.
+    sums = F.array(*[F.struct(F.lit(i).alias("i"), F.pmod(F.xxhash64(*key, F.lit(i)), size).alias("k")) for i in range(rounds)])
 
-    def swap_or_not(x: Column, i: Column) -> Column:
-        other = F.pmod(F.pmod(F.xxhash64(*key, i), size) - x, size)
-        swap = F.xxhash64(F.greatest(x, other), *key, i).bitwiseAND(F.lit(1)) == 1
+    def swap_or_not(x: Column, pair: Column) -> Column:
+        other = F.pmod(pair["k"] - x, size)
+        swap = F.xxhash64(F.greatest(x, other), *key, pair["i"]).bitwiseAND(F.lit(1)) == 1
         return F.when(swap, other).otherwise(x)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), position.cast("long"), swap_or_not)
+    return F.aggregate(sums, position.cast("long"), swap_or_not)
+
+
+def dealt(df: DataFrame, moved: int) -> DataFrame:
+    """Rows with ``__pos`` in as many partitions as ``moved`` positions to permute need; adaptive coalescing would count bytes only."""
+    return df.repartition(-(-moved // MOVED) or 1, POSITION)
 
 
 def in_blocks(df: DataFrame, n: int) -> DataFrame:

@@ -67,3 +67,21 @@ def test_permutation_importance_under_any_partitioning(signal):
     assert [r[0] for r in one] == [r[0] for r in two] and one[0][0] == "a" and one[0][3] > 1
     for a, b in zip(one, two):
         assert a[1:] == pytest.approx(b[1:], rel=1e-9)
+
+
+def test_rows_are_dealt_out_by_their_work(spark, monkeypatch):
+    """Few bytes, but many permutations: the rows must not meet in one task, nor may the layout change a draw."""
+    from feldspar.plans import permute
+
+    placed = spark.range(4000).select(F.col("id").alias(POSITION), F.array(F.col("id"), -F.col("id")).alias("x"))
+    before = sorted(map(tuple, learn.with_shadows(placed.coalesce(1), "x", 4000, 4, "s").select(POSITION, "s").collect()))
+    monkeypatch.setattr(permute, "MOVED", 1000)
+    spread = permute.dealt(placed.coalesce(1), 8000)
+    assert spread.rdd.getNumPartitions() == 8
+    assert sorted(map(tuple, learn.with_shadows(spread, "x", 4000, 4, "s", width=2).select(POSITION, "s").collect())) == before
+
+
+def test_a_permutation_is_the_same_for_a_literal_and_a_column_as_key(spark):
+    rows = spark.range(500).select("id", F.lit(3).alias("k")).repartition(2)
+    pairs = rows.select(permuted(F.col("id"), 500, F.lit(9), F.col("k")).alias("a"), permuted(F.col("id"), 500, F.lit(9), F.lit(3)).alias("b"))
+    assert all(r.a == r.b for r in pairs.collect())
