@@ -10,10 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 from math import ceil, floor, sqrt
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +41,7 @@ class _Bracket:
 class _Sorted:
     """Keys in order, as they came from Spark; only those that are looked at become tuples."""
 
-    def __init__(self, keys: pa.ChunkedArray):
+    def __init__(self, keys: pa.Array):
         self.keys = keys
 
     def __len__(self) -> int:
@@ -81,19 +79,19 @@ def keys_at(df: DataFrame, order: Sequence[str], ranks: Sequence[int], n: int, i
         return out if b.high is None else out & before(order, b.high, kind)
 
     def gathered(wanted: dict[int, Column]) -> dict[int, _Sorted]:
-        """The keys for which each condition holds, in order."""
-        some = keys.filter(reduce(Column.__or__, wanted.values()))  # few rows; the rest is for these alone
-        hits = F.filter(F.array(*[F.when(c, F.lit(i)) for i, c in wanted.items()]), lambda i: i.isNotNull())
-        rows = some.select(F.explode(hits).alias("i"), whole.alias("k")).sort("i", "k").toArrow()
-        at = rows.column("i").to_numpy()
-        return {i: _Sorted(rows.column("k").slice(a := int(np.searchsorted(at, i)), int(np.searchsorted(at, i, "right")) - a)) for i in wanted}
+        """The keys for which each condition holds, in order; few, so one scan collects them without a sort across the cluster.
+
+        As an aggregate, not a filter: conditions of a filter would work out the order columns anew for each comparison.
+        """
+        lists = keys.agg(*[F.sort_array(F.collect_list(F.when(c, whole))).alias(f"k{i}") for i, c in wanted.items()]).toArrow()
+        return {i: _Sorted(lists.column(f"k{i}")[0].values) for i in wanted}
 
     turn = 0
     while wide := [i for i, b in enumerate(brackets) if b.key is None and b.size > limit]:
         turn += 1
-        share = F.pmod(F.xxhash64(whole, F.lit(turn)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+        share = F.pmod(F.xxhash64(*[F.col(f"`{o}`") for o in order], F.lit(turn)), F.lit(1 << 40)) / F.lit(float(1 << 40))
         same = {i: next(j for j in wide if brackets[j].part() == brackets[i].part()) for i in wide}
-        samples = gathered({i: (share < SAMPLE / brackets[i].size) & inside(brackets[i]) for i in set(same.values())})
+        samples = gathered({i: inside(brackets[i]) & (share < SAMPLE / brackets[i].size) for i in set(same.values())})
         pivots = {i: _pivots(brackets[i], samples[same[i]]) for i in wide if len(samples[same[i]])}
         counts = []
         for i, (low, high) in pivots.items():

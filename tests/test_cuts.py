@@ -53,3 +53,12 @@ def test_no_row_is_moved(spark):
     df = spark.range(1000)
     out = splits.kfold_contiguous(df, ["id"], 5)
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keys_are_collected_without_a_sort_across_the_cluster(spark, few, monkeypatch):
+    """A sort by ranges scans its input twice, and a filter works out the order columns for each comparison."""
+    df = spark.range(1500).select((F.col("id") * 7 % 1511).alias("v.w"), "id").repartition(3)
+    monkeypatch.setattr(type(df), "sort", lambda *_: pytest.fail("sorted across the cluster"))
+    monkeypatch.setattr(type(df), "filter", lambda *_: pytest.fail("filtered"))
+    values = sorted(i * 7 % 1511 for i in range(1500))
+    assert [k[0] for k in cuts.keys_at(df, ["v.w", "id"], [0, 700, 1499], 1500)] == [values[0], values[700], values[1499]]
