@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,12 +19,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 # A fixed fraction of the last kept digit, added before rounding on both sides: exact ties (k/128 at six
 # digits, say) would otherwise fall either way with the last bit of a sum.
 TIE_SHIFT = 0.1234567
+#: Scaled values from here on are rounded as decimal numbers.
+EXACT_BELOW = 2.0**36
 
 
 def rounded(df: DataFrame, columns: Sequence[str], digits: int) -> DataFrame:
     """Round the listed doubles (and turn -0.0 into 0.0), so that summation order does not show."""
-    shift = F.lit(TIE_SHIFT * 10**-digits)
-    return df.withColumns({c: F.round(F.col(f"`{c}`").cast("double") + shift, digits) + F.lit(0.0) for c in columns})
+    shift, scale = F.lit(TIE_SHIFT * 10**-digits), F.lit(10.0**digits)
+
+    def near(x: Column) -> Column:
+        # round() goes by a decimal number for every value. Without ties, doubles give the same where they hold fractions well.
+        quick = F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)) / scale
+        return F.when(F.abs(x) * scale < F.lit(EXACT_BELOW), quick).otherwise(F.round(x, digits)) + F.lit(0.0)
+
+    return df.withColumns({c: near(F.col(f"`{c}`").cast("double") + shift) for c in columns})
 
 
 def query(name: str, sql: str | None = None, rounds: Sequence[str] = (), digits: int = 6, dates: Sequence[str] = ()):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from feldspar.functions.numeric import INF, is_infinite
 from feldspar.operators.profile import TRAIN, q
+from feldspar.plans.methods import small_methods
 
 
 def mean_impute(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -62,6 +63,7 @@ def nan_inf_impute(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, li
     """:func:`nan_impute` followed by :func:`inf_impute`, from one profiling pass. Returns the new flag columns."""
     if not columns:
         return df, []
+    small_methods(df.sparkSession)
     train = q(TRAIN) == 1
     x = [q(c) for c in columns]
     profile = df.agg(

@@ -385,3 +385,30 @@ def test_classifier_scores_scan_once_per_size(spark):
     assert out.filter("a_ft_prob is null or a_ft_prob < 0 or a_ft_prob > 1 or b_ft is null").count() == 0
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RDD") + plan.count("Relation") <= 2  # the written vectors, not one scan per model
+
+
+def test_rounding_equals_that_of_decimal_numbers(spark):
+    from feldspar.catalog.base import TIE_SHIFT, rounded
+
+    rng = np.random.default_rng(3)
+    values = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1e300, -1e17, 0.5, -0.5, 1.005, 5e-324, -TIE_SHIFT * 1e-5]
+    values += [float(v) for e in (-7, -3, 0, 3, 6, 9, 12) for v in rng.normal(size=300) * 10.0**e] + [k / 128 for k in range(-200, 200)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for digits in (0, 5, 8):
+        plain = F.round(F.col("x") + F.lit(TIE_SHIFT * 10**-digits), digits) + F.lit(0.0)
+        both = rounded(df.withColumn("y", plain), ["x"], digits)
+        assert both.filter("NOT (x <=> y)").count() == 0
+        assert both.filter("x = 0 AND cast(x AS string) = '-0.0'").count() == 0
+
+
+def test_wide_imputation_asks_for_methods_that_are_compiled(spark):
+    """Sessions that do not come from local_session have a limit of 65535 bytes."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "65535")
+        df = spark.createDataFrame([(1, 1.0), (0, None)], "is_train int, a double")
+        missing.nan_inf_impute(df, ["a"])
+        assert int(spark.conf.get(name)) <= 8000
+    finally:
+        spark.conf.set(name, before)
