@@ -75,3 +75,24 @@ def test_keys_are_packed_and_met():
     assert rows and all(a < b for a, b in pairs)
     h = lines.line_hash
     assert all(tuple(sorted((h(x), h(y)))) in pairs for x, y in zip(base, near) if x != y)
+
+
+def test_keys_are_read_batch_by_batch():
+    rng = random.Random(2)
+    base = [lines.normal(" ".join(f"w{rng.randrange(5000)}" for _ in range(60))) for _ in range(3000)]
+    sent = [lines._sent({lines.line_hash(x): x for x in base[at : at + 200]}, 1) for at in range(0, 3000, 200)]
+    whole = lines._met(pa.Table.from_batches(sent))
+    assert whole.num_rows and lines._met(iter(sent)).equals(whole)
+
+
+def test_far_pairs_are_left_out_early(monkeypatch):
+    rng = random.Random(6)
+    x, y = (["".join(rng.choice("etaoinsh ") for _ in range(600)) for _ in range(100)] for _ in range(2))
+    y[:5] = [z.replace("a", "b", 20) for z in x[:5]]
+    seen, real = [], lines._at_least
+    monkeypatch.setattr(lines, "_at_least", lambda *a: seen.append(a[-1]) or real(*a))
+    most = np.full(100, 120)
+    got, want = lines.distances(x, y, most), np.array([plain(*z) for z in zip(x[:8], y[:8])])
+    assert np.array_equal(np.minimum(got[:8], 121), np.minimum(want, 121)) and (got[5:] > 120).all()
+    lines.distances(x[5:], y[5:], most[5:])
+    assert 0 < max(seen[-3:]) < 500
