@@ -81,7 +81,7 @@ def _(spark, d):
     return tf.tfidf(comments(spark, d), "doc_id", "comment_text", tf.sublinear_word_analyzer(STOPS))[0]
 
 
-def _ngram_sql(low: int, high: int, top: int = 5000) -> str:
+def _ngram_sql(low: int = 2, high: int = 6, top: int = 50000) -> str:
     """N-grams of the white-space collapsed text, as runs of following characters."""
     body = rf"regexp_replace({STRIPPED}, '[\t\n\f\r\x0B ]+', ' ', 'g')"
     cells = ", ".join(f"lead(ch, {j}) OVER w AS ch{j}" for j in range(1, high))
@@ -96,18 +96,19 @@ def _ngram_sql(low: int, high: int, top: int = 5000) -> str:
     return _tfidf_sql("", top=top, sublinear=True, fit_all=True, terms=terms)
 
 
-@query("tfidf_char_ngram", _ngram_sql(2, 3), rounds=["weight"])
+@query("tfidf_char_ngram", _ngram_sql(), rounds=["weight"])
 def _(spark, d):
-    return tf.tfidf(comments(spark, d), "doc_id", "comment_text", tf.char_analyzer(2, 3, max_features=5000))[0]
+    """Sizes 2 to 6 and 50,000 columns."""
+    return tf.tfidf(comments(spark, d), "doc_id", "comment_text", tf.char_analyzer())[0]
 
 
 @query(
     "tfidf_char_ngram_full",
-    f"WITH x AS ({_ngram_sql(2, 6, 50000)}) SELECT doc_id, count(*) AS n_terms, max(weight) AS max_weight FROM x GROUP BY doc_id",
+    f"WITH x AS ({_ngram_sql()}) SELECT doc_id, count(*) AS n_terms, max(weight) AS max_weight FROM x GROUP BY doc_id",
     rounds=["max_weight"],
 )
 def _(spark, d):
-    """Sizes 2 to 6 and 50,000 columns, summarised per document."""
+    """The same, summarised per document."""
     long, _vocab = tf.tfidf(comments(spark, d), "doc_id", "comment_text", tf.char_analyzer())
     return long.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"), F.max("weight").alias("max_weight"))
 

@@ -162,3 +162,13 @@ def test_count_vectorize_query_does_not_fit(spark, monkeypatch, tmp_path):
     spark.createDataFrame([(i, f"X x w{i % 2}") for i in range(10)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     rows = load()[0]["count_vectorize"](spark, str(tmp_path)).collect()
     assert {tuple(r[1:]) for r in rows} == {(3, 2)} and len(rows) == 10
+
+
+def test_char_ngram_query_is_whole(spark, tmp_path):
+    from feldspar.catalog import load
+
+    texts = [" ".join(f"w{i * j}" for j in range(200)) for i in range(60)]
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(0, 1, 0)], "doc_id long, toxic int, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = {r["term"] for r in load()[0]["tfidf_char_ngram"](spark, str(tmp_path)).select("term").distinct().collect()}
+    assert got == {t[i : i + n] for t in texts for n in range(2, 7) for i in range(len(t) - n + 1)} and len(got) > 5000
