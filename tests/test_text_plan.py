@@ -172,3 +172,32 @@ def test_char_ngram_query_is_whole(spark, tmp_path):
     spark.createDataFrame([(0, 1, 0)], "doc_id long, toxic int, quality int").write.parquet(str(tmp_path / "labels.parquet"))
     got = {r["term"] for r in load()[0]["tfidf_char_ngram"](spark, str(tmp_path)).select("term").distinct().collect()}
     assert got == {t[i : i + n] for t in texts for n in range(2, 7) for i in range(len(t) - n + 1)} and len(got) > 5000
+
+
+def test_ngrams_are_added_up_before_the_shuffle(spark, monkeypatch):
+    df = spark.range(0, 40, 1, 1).select(F.col("id").alias("k"), F.lit(1).alias("is_train"), F.concat(F.lit("word and w"), F.col("id") % 4).alias("__text"))
+    monkeypatch.setattr(ng, "CHARS", 30)
+    rows = tf.gram_counts(df, 2, 4).collect()
+    assert len({r["term"] for r in rows}) == len(rows)
+    want = Counter(t[i : i + n] for r in df.collect() for t in [r["__text"]] for n in (2, 3, 4) for i in range(len(t) - n + 1))
+    assert {r["term"]: r["tf"] for r in rows} == want
+    assert {r["term"]: r["df"] for r in rows}["wo"] == 40 and want["w0"] == 10
+
+
+def test_cells_come_by_document():
+    rng = ng.np.random.default_rng(3)
+    cells = rng.permutation([(d, p, 1 + (d + p) % 7) for d in range(30) for p in range(0, 50, 1 + d % 3)]).T.astype("int64")
+    for large in (0, 1 << 40):
+        document, place, count = ng.by_document(cells[0] + large, cells[1] + large, cells[2])
+        assert (ng.np.lexsort((place, document)) == range(len(place))).all() and (count == 1 + (document + place - 2 * large) % 7).all()
+    assert [len(x) for x in ng.by_document(*cells[:, :0])] == [0, 0, 0]
+
+
+def test_weights_travel_in_one_row_per_text(spark):
+    df = spark.createDataFrame([(1, 1, "abab c"), (2, 0, ""), (3, 0, None), (4, 1, "zz")], "k long, is_train int, __text string")
+    a = tf.char_analyzer(2, 3, 50)
+    got = {r["k"]: r for r in tf.gram_cells(df, [("ab", 2.0), ("ba", 1.0), ("aba", 1.0)], "k", a).collect()}
+    x = [(1 + math.log(2)) * 2, 1.0, 1.0]
+    norm = math.sqrt(sum(w * w for w in x))
+    assert got[1]["at"] == [0, 1, 2] and got[1]["w"] == pytest.approx([w / norm for w in x])
+    assert all(got[k]["at"] == [] and got[k]["w"] == [] for k in (2, 3, 4))
