@@ -196,8 +196,8 @@ def test_cells_come_by_document():
 def test_weights_travel_in_one_row_per_text(spark):
     df = spark.createDataFrame([(1, 1, "abab c"), (2, 0, ""), (3, 0, None), (4, 1, "zz")], "k long, is_train int, __text string")
     a = tf.char_analyzer(2, 3, 50)
-    got = {r["k"]: r for r in tf.gram_cells(df, [("ab", 2.0), ("ba", 1.0), ("aba", 1.0)], "k", a).collect()}
+    got = {r["k"]: r for r in tf.gram_cells(df, [("ab", 2.0), ("ba", 1.0), ("aba", 1.0)], a).collect()}
     x = [(1 + math.log(2)) * 2, 1.0, 1.0]
     norm = math.sqrt(sum(w * w for w in x))
-    assert got[1]["at"] == [0, 1, 2] and got[1]["w"] == pytest.approx([w / norm for w in x])
-    assert all(got[k]["at"] == [] and got[k]["w"] == [] for k in (2, 3, 4))
+    assert got[1]["__at"] == [0, 1, 2] and got[1]["__w"] == pytest.approx([w / norm for w in x])
+    assert all(got[k]["__at"] == [] and got[k]["__w"] == [] for k in (2, 3, 4))
