@@ -47,3 +47,13 @@ def test_scores_explode_and_exchange_no_cells(spark, docs, monkeypatch, capsys):
 def test_norms_are_not_worked_out_for_every_weight():
     lists = tf.pa.array([[3.0, 4.0], [], [2.0]])
     assert tf._unit(lists).to_pylist() == [[0.6, 0.8], [], [1.0]] and tf._unit(lists.slice(1, 2)).to_pylist() == [[], [1.0]]
+
+
+def test_query_has_the_whole_settings(spark, monkeypatch):
+    from feldspar.catalog import load
+
+    seen = []
+    monkeypatch.setattr(ln, "tfidf_lr_score", lambda df, key, text, targets, analyzers, c=0.1, max_iter=100: seen.append((analyzers, max_iter)) or (df.select("doc_id"), []))
+    load()[0]["tfidf_lr_score"](spark, "/root/testdata/sf0.001")
+    (char, word), most = seen[0]
+    assert (char.ngrams, char.max_features, word.max_features, most) == ((2, 6), 50_000, 10_000, 100)
