@@ -57,3 +57,16 @@ def test_query_has_the_whole_settings(spark, monkeypatch):
     load()[0]["tfidf_lr_score"](spark, "/root/testdata/sf0.001")
     (char, word), most = seen[0]
     assert (char.ngrams, char.max_features, word.max_features, most) == ((2, 6), 50_000, 10_000, 100)
+
+
+def test_recipe_fits_its_words_once(spark, monkeypatch):
+    from feldspar.operators import recipes
+
+    fitted, real = [], tf.fitted
+    monkeypatch.setattr(tf, "fitted", lambda *a: fitted.append(a) or real(*a))
+    rows = [(i, int(i % 3 > 0), f"some word{i % 5} and w{i % 2} here", i % 2 if i % 3 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, is_train int, body string, t int")
+    out = recipes.text_features_to_predictions(df, "k", "body", ["t"], min_df=0.1, n_words=5, score_iterations=5).collect()
+    assert len(fitted) == 1 and sorted(r["k"] for r in out) == [i for i in range(60) if i % 3 == 0]
+    odd, even = ([r["t"] for r in out if r["k"] % 2 == x] for x in (1, 0))
+    assert sum(odd) / len(odd) > sum(even) / len(even)
