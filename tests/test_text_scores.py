@@ -64,7 +64,7 @@ def test_recipe_fits_its_words_once(spark, monkeypatch):
 
     fitted, real = [], tf.fitted
     monkeypatch.setattr(tf, "fitted", lambda *a: fitted.append(a) or real(*a))
-    rows = [(i, int(i % 3 > 0), f"some word{i % 5} and w{i % 2} here", i % 2 if i % 3 else None) for i in range(60)]
+    rows = [(i, int(i % 3 > 0), f"some word{i % 5} and w{i % 2} here" + " more" * (i % 4), i % 2 if i % 3 else None) for i in range(60)]
     df = spark.createDataFrame(rows, "k long, is_train int, body string, t int")
     out = recipes.text_features_to_predictions(df, "k", "body", ["t"], min_df=0.1, n_words=5, score_iterations=5).collect()
     assert len(fitted) == 1 and sorted(r["k"] for r in out) == [i for i in range(60) if i % 3 == 0]
